@@ -84,7 +84,7 @@ def percentiles(
             aggs.append(F.max(F.when(covers, F.col(value))).alias(f"_{side}{i}"))
         part = rank - F.floor(rank)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((low + (high - low) * part).alias(f"p{f'{p * 100:g}'.replace('.', '_')}"))
+        out.append((low * (F.lit(1.0) - part) + high * part).alias(f"p{f'{p * 100:g}'.replace('.', '_')}"))
     return ranked.groupBy(*keys, "samples").agg(*aggs).select(*keys, "samples", *out)
 
 

@@ -15,11 +15,14 @@ from ..functions.money import half_up, percent, ratio, rounded_ratio
 from ..operators import relations
 from ..operators.keys import ntile
 
-ROWS = F.count(F.lit(1))
-HUNDRED_THOUSAND = F.lit(100000.0)
+HUNDRED_THOUSAND = 100000.0
 BIG = "decimal(38,2)"
 
 
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def _sum(name: str) -> Column:
     return F.sum(name).cast(BIG)
 
@@ -28,7 +31,7 @@ def brand_performance(
     order_items: DataFrame, products: DataFrame, brands: DataFrame, orders: DataFrame
 ) -> DataFrame:
     per_product = order_items.groupBy("product_id").agg(
-        ROWS.alias("_n"), F.sum("quantity").alias("_q"), _sum("total_price").alias("_v")
+        _rows().alias("_n"), F.sum("quantity").alias("_q"), _sum("total_price").alias("_v")
     )
     per_brand = (
         per_product.join(products.select("product_id", "brand_id"), "product_id")
@@ -93,9 +96,9 @@ def campaign_performance(
     program_sales: DataFrame, product_sales: DataFrame, order_items: DataFrame, orders: DataFrame
 ) -> DataFrame:
     sold = order_items.filter(F.col("sale_id").isNotNull())
-    offered = product_sales.groupBy("sale_id").agg(ROWS.alias("total_products"))
+    offered = product_sales.groupBy("sale_id").agg(_rows().alias("total_products"))
     revenue = sold.groupBy("sale_id").agg(
-        ROWS.alias("total_orders"),
+        _rows().alias("total_orders"),
         F.sum("quantity").alias("total_quantity_sold"),
         _sum("total_price").alias("total_revenue"),
         F.sum((F.col("list_price") * F.col("quantity")).cast(money.MONEY)).cast(BIG).alias("total_org_price"),
@@ -157,7 +160,7 @@ def category_metrix(products: DataFrame, categories: DataFrame) -> DataFrame:
         rounded_ratio(F.sum(F.col(c).cast("decimal(18,4)")), F.count(c)).alias(n) for n, c in measures.items()
     ]
     per_category = products.groupBy("category_id").agg(
-        ROWS.alias("total_products"),
+        _rows().alias("total_products"),
         *means,
         F.max("product_weight_g").alias("max_weight"),
         F.min("product_weight_g").alias("min_weight"),
@@ -174,7 +177,7 @@ def _with_category(per_category: DataFrame, categories: DataFrame) -> DataFrame:
 def category_status(products: DataFrame, categories: DataFrame) -> DataFrame:
     states = ("active", "inactive", "discontinued", "out_of_stock")
     per_category = products.groupBy("category_id").agg(
-        ROWS.alias("total_products"),
+        _rows().alias("total_products"),
         *[F.count_if(F.col("product_status") == s.upper()).alias(f"{s}_products") for s in states],
     )
     rates = {f"{s}_rate": percent(F.col(f"{s}_products"), F.col("total_products")) for s in states}
@@ -184,7 +187,7 @@ def category_status(products: DataFrame, categories: DataFrame) -> DataFrame:
 def _item_totals(order_items: DataFrame) -> DataFrame:
     unit = money.unit_price(F.col("total_price"), F.col("quantity"))
     return order_items.groupBy("product_id").agg(
-        ROWS.alias("_items"),
+        _rows().alias("_items"),
         F.sum("quantity").alias("_quantity"),
         _sum("total_price").alias("_revenue"),
         F.sum(unit).alias("_unit"),
@@ -192,7 +195,7 @@ def _item_totals(order_items: DataFrame) -> DataFrame:
 
 
 def _review_totals(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("product_id").agg(ROWS.alias("_reviews"), F.sum("review_score").alias("_score"))
+    return reviews.groupBy("product_id").agg(_rows().alias("_reviews"), F.sum("review_score").alias("_score"))
 
 
 def _times(a: str, b: str, kind: str = BIG) -> Column:
@@ -225,7 +228,7 @@ def category_performance(
         score = rounded_ratio(_times("_score", "_items"), pairs)
         price = rounded_ratio(_times("_unit", "_reviews", "decimal(38,6)"), pairs)
     totals = both.groupBy("category_id").agg(
-        ROWS.alias("total_products"),
+        _rows().alias("total_products"),
         sold.alias("total_sold"),
         revenue.cast(BIG).alias("total_revenue"),
         score.alias("avg_review_score"),
@@ -240,7 +243,7 @@ def category_performance(
         .select("category_id", "order_id")
         .distinct()
         .groupBy("category_id")
-        .agg(ROWS.alias("total_orders"))
+        .agg(_rows().alias("total_orders"))
     )
     named = _with_category(totals.join(orders, "category_id"), categories)
     ordered = named.select(
@@ -260,7 +263,7 @@ def product_performance(
 ) -> DataFrame:
     """Product sales over products with reviews; see category_performance for `exact`."""
     items = _item_totals(order_items)
-    counts = reviews.groupBy("product_id").agg(ROWS.alias("_reviews"))
+    counts = reviews.groupBy("product_id").agg(_rows().alias("_reviews"))
     factor = F.lit(1) if exact else F.col("_reviews")
     named = products.select("product_id", "product_name", "brand_id", "category_id").join(
         categories.select(F.col("cate_id").alias("category_id"), "cate_name"), "category_id"
@@ -279,7 +282,7 @@ def product_performance(
             (F.col("_quantity") * factor).cast("bigint").alias("total_sold"),
             (F.col("_items") * factor).cast("bigint").alias("total_orders"),
             (F.col("_revenue") * factor).cast(BIG).alias("total_revenue"),
-            rounded_ratio(F.col("_unit"), F.col("_items")).alias("avg_price"),
+            rounded_ratio((F.col("_unit") * factor).cast("decimal(38,6)"), F.col("_items") * factor).alias("avg_price"),
         )
         .orderBy(F.desc("total_sold"), "product_id")
     )
@@ -288,12 +291,12 @@ def product_performance(
 def customer_360(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Customers that have orders with items. avg_order_value is the mean item total, as defined."""
     placed = orders.groupBy("acc_id").agg(
-        ROWS.alias("total_orders"),
+        _rows().alias("total_orders"),
         _sum("total_amount").alias("total_spent"),
         F.min("created_at").alias("firsr_order"),
         F.max("created_at").alias("last_order"),
     )
-    per_order = order_items.groupBy("order_id").agg(ROWS.alias("_n"), _sum("total_price").alias("_v"))
+    per_order = order_items.groupBy("order_id").agg(_rows().alias("_n"), _sum("total_price").alias("_v"))
     bought = (
         per_order.join(orders.select("order_id", "acc_id"), "order_id")
         .groupBy("acc_id")
@@ -325,7 +328,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, order_items: DataFrame
 def customer_reviews(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     score = F.col("review_score")
     per_order = reviews.groupBy("order_id").agg(
-        ROWS.alias("_n"),
+        _rows().alias("_n"),
         F.sum("review_score").alias("_s"),
         F.count_if(score >= 4.0).alias("_pos"),
         F.count_if(score <= 2.5).alias("_neg"),
@@ -419,7 +422,7 @@ def order_360(orders: DataFrame, order_items: DataFrame, products: DataFrame, re
         .groupBy("order_id")
         .agg(
             F.sum("quantity").alias("total_sold"),
-            ROWS.alias("total_items"),
+            _rows().alias("total_items"),
             *[F.sum(c.cast(money.MONEY)).cast(BIG).alias(n) for n, c in amount.items()],
             rounded_ratio(F.sum("total_price"), F.count("total_price")).alias("avg_price_per_item"),
             rounded_ratio(F.sum("shipping_distance_km"), F.count("shipping_distance_km")).alias("avg_distance_km"),
@@ -433,7 +436,7 @@ def order_360(orders: DataFrame, order_items: DataFrame, products: DataFrame, re
     feelings = ("positive", "negative", "neutral")
     per_review = reviews.groupBy("order_id").agg(
         rounded_ratio(F.sum("review_score"), F.count("review_score")).alias("avg_review"),
-        ROWS.alias("total_reviews"),
+        _rows().alias("total_reviews"),
         F.bool_or("has_reply").alias("has_reply"),
         ratio(F.sum(wait), F.count(wait)).alias("reply_in"),
         *[F.count_if(F.col("review_sentiment") == s.title()).alias(f"{s}_reviews") for s in feelings],
@@ -473,7 +476,7 @@ def order_performance(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy(F.year("created_at").alias("year"), F.month("created_at").alias("month"))
         .agg(
-            ROWS.alias("total_orders"),
+            _rows().alias("total_orders"),
             _sum("total_amount").alias("hope_total_revenue"),
             ratio(F.sum(amount), F.count(amount)).alias("avg_order_value"),
             F.count_if(status == "DELIVERED").alias("delivered_orders"),
@@ -486,7 +489,7 @@ def order_performance(orders: DataFrame) -> DataFrame:
 
 
 def payments_analysis(payments: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    sizes = order_items.groupBy("order_id").agg(ROWS.alias("_items"))
+    sizes = order_items.groupBy("order_id").agg(_rows().alias("_items"))
     states = {"paid": "SUCCESS", "pending": "PENDING", "failed": "FAILED", "refunded": "REFUNDED"}
     joined = (
         payments.join(orders.select("order_id", "acc_id"), "order_id")
@@ -495,7 +498,7 @@ def payments_analysis(payments: DataFrame, orders: DataFrame, order_items: DataF
     )
     # first per method and customer, so that customers are counted without an expand
     per_customer = joined.groupBy("payment_method", "acc_id").agg(
-        ROWS.alias("_n"),
+        _rows().alias("_n"),
         *[F.count_if(F.col("payment_status") == s).alias(f"_{n}") for n, s in states.items()],
         _sum("payment_amount").alias("_v"),
         F.max("_items").alias("_max"),
@@ -535,13 +538,13 @@ def shipping_city_district_performance(orders: DataFrame) -> DataFrame:
     return (
         orders.groupBy("target_city", "target_district")
         .agg(
-            ROWS.alias("total_orders"),
+            _rows().alias("total_orders"),
             rounded_ratio(F.sum("total_shipfee"), F.count("total_shipfee")).alias("avg_fee"),
             rounded_ratio(F.sum("total_amount"), F.count("total_amount")).alias("avg_revenue"),
             rounded_ratio(F.sum(way), F.count(way)).alias("avg_days"),
             F.max(way).alias("max_days"),
             F.min(way).alias("min_days"),
-            percent(F.count_if(F.col("delivered_at") < F.col("estimated_delivery_date")), ROWS).alias("ontime_rate"),
+            percent(F.count_if(F.col("delivered_at") < F.col("estimated_delivery_date")), _rows()).alias("ontime_rate"),
         )
         .orderBy("target_city", "target_district")
     )
@@ -549,7 +552,7 @@ def shipping_city_district_performance(orders: DataFrame) -> DataFrame:
 
 def subsidiary_performance(subsidiaries: DataFrame, order_items: DataFrame, orders: DataFrame) -> DataFrame:
     per_order = order_items.groupBy("subsidiary_id", "order_id").agg(
-        ROWS.alias("_n"), _sum("sale_price").alias("_sale"), _sum("total_price").alias("_v")
+        _rows().alias("_n"), _sum("sale_price").alias("_sale"), _sum("total_price").alias("_v")
     )
     per_customer = (
         per_order.join(orders.select("order_id", "acc_id"), "order_id")
@@ -577,12 +580,12 @@ def subsidiary_performance(subsidiaries: DataFrame, order_items: DataFrame, orde
 
 def subsidiary_shipping_performance(order_items: DataFrame, exact: bool = False) -> DataFrame:
     """total_items adds up item numbers, as defined; `exact` counts items."""
-    items = ROWS if exact else F.sum("order_item_id")
+    items = _rows() if exact else F.sum("order_item_id")
     # per branch and order first: distinct orders become a plain count
     per_order = order_items.groupBy("subsidiary_id", "order_id").agg(
         items.alias("_items"),
         F.sum("quantity").alias("_quantity"),
-        ROWS.alias("_n"),
+        _rows().alias("_n"),
         *[_sum(c).alias(f"_{c}") for c in ("shipping_fee", "total_price", "shipping_distance_km", "item_total_weight_g")],
         F.max("shipping_distance_km").alias("_max"),
         F.min("shipping_distance_km").alias("_min"),
@@ -591,7 +594,7 @@ def subsidiary_shipping_performance(order_items: DataFrame, exact: bool = False)
     return (
         per_order.groupBy("subsidiary_id")
         .agg(
-            ROWS.alias("total_order"),
+            _rows().alias("total_order"),
             F.sum("_items").alias("total_items"),
             F.sum("_quantity").alias("total_quantity"),
             _sum("_shipping_fee").alias("total_fee"),

@@ -24,8 +24,7 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 def session_totals(events: DataFrame, user: str, time: str, lateness: str = LATENESS) -> DataFrame:
     """Sessions with the batch rule: times in whole seconds, a new session after more than the gap.
 
-    A session window closes when the next event is at its end or later, so the gap is one second
-    longer than the largest pause that stays inside a session.
+    Session windows that touch are merged, so a pause of exactly the gap stays inside a session.
     """
     second = F.date_trunc("second", F.col(time))
     timed = events.withColumn("_second", second).withWatermark("_second", lateness)
