@@ -136,10 +136,10 @@ def ordered(
 
 
 def item_sequence(
-    df: DataFrame, parent: str, order: Sequence[str | Column], name: str, split: bool | None = None
+    df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], name: str, split: bool | None = None
 ) -> DataFrame:
     """Number the rows of a parent from 1 in a total order."""
-    rows = ordered(df, [parent], order, split)
+    rows = ordered(df, [parent] if isinstance(parent, str) else list(parent), order, split)
     return rows.done(rows.number(rows.frame, name))
 
 

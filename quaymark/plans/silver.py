@@ -310,16 +310,19 @@ def orders_base(raw: DataFrame, addresses: DataFrame) -> DataFrame:
 
     `addresses` has slot, target_street, target_district, target_city and is dealt out in turn.
     """
-    typed = raw.withColumns(
+    known = cleaning.require(raw.withColumn("acc_id", text.account_id(F.trim("user_id"))), ["acc_id"])
+    dealt = round_robin(known, ["order_id"], addresses, "slot")
+    # times are parsed after the rows are dealt out, which reads its input twice
+    typed = dealt.withColumns(
         {
-            "acc_id": text.account_id(F.trim("user_id")),
             "estimated_delivery_date": times.parse_time(F.col("estimated_delivery_at")),
             **_parsed("created_at", "confirmed_at", "delivered_at", "updated_at"),
         }
-    ).drop("total_order", "payment_id", "shipping_address", "estimated_delivery_at", "user_id")
+    )
     status = rules.order_status(F.col("confirmed_at"), F.col("delivered_at"))
-    known = cleaning.require(typed.withColumn("order_status", status), ["acc_id"])
-    return round_robin(known, ["order_id"], addresses, "slot").drop("slot")
+    return typed.withColumn("order_status", status).drop(
+        "total_order", "payment_id", "shipping_address", "estimated_delivery_at", "user_id", "slot"
+    )
 
 
 def order_items(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quaymark.functions import rules
 from quaymark.operators.ordered import item_sequence
+from quaymark.session import stage
 
 GIVEN = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -348,12 +349,19 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._made: dict[str, DataFrame] = {}
+        self.made: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = self._make(name)
-        return self._made[name]
+        if name not in self.made:
+            self.made[name] = self._make(name)
+        return self.made[name]
+
+    def stored(self, name: str) -> DataFrame:
+        """A derived table that a query reads more than once, written first as a stored table would be."""
+        key = f"stored_{name}"
+        if key not in self.made:
+            self.made[key] = stage(self[name], key)
+        return self.made[key]
 
     def _make(self, name: str) -> DataFrame:
         if name in GIVEN:

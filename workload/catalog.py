@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from quaymark.functions import hashing, money, rules, text, times
 from quaymark.operators import behaviour, cleaning, keys, logs, metrics, ordered, quality, relations
 from quaymark.plans import gold, layers, records, silver
-from quaymark.session import new_folder
+from quaymark.session import new_folder, stage
 from quaymark.sources import readers, writers
 from quaymark.streaming import flows
 
@@ -723,11 +723,11 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 
 def _silver(t: Tables, name: str) -> DataFrame:
-    """A silver frame, built once per set of tables."""
+    """A silver table as later tables read it: written once, then read from its path."""
     key = f"silver_{name}"
-    if key not in t._made:
-        t._made[key] = SILVER[name](t)
-    return t._made[key]
+    if key not in t.made:
+        t.made[key] = stage(SILVER[name](t), key)
+    return t.made[key]
 
 
 SILVER: dict[str, Query] = {
@@ -764,7 +764,7 @@ def _raw_spend(t: Tables) -> DataFrame:
 
 
 def _register_silver(name: str) -> None:
-    QUERIES[f"silver_{name}"] = lambda t: _silver(t, name)
+    QUERIES[f"silver_{name}"] = SILVER[name]
 
 
 for _name in SILVER:
@@ -799,12 +799,12 @@ def gold_category_metrix(t: Tables) -> DataFrame:
 
 @query
 def gold_category_performance(t: Tables) -> DataFrame:
-    return gold.category_performance(t["b_products"], t["b_categories"], t["b_reviews"], t["b_items"])
+    return gold.category_performance(t["b_products"], t["b_categories"], t.stored("b_reviews"), t["b_items"])
 
 
 @query
 def gold_category_performance_exact(t: Tables) -> DataFrame:
-    return gold.category_performance(t["b_products"], t["b_categories"], t["b_reviews"], t["b_items"], exact=True)
+    return gold.category_performance(t["b_products"], t["b_categories"], t.stored("b_reviews"), t["b_items"], exact=True)
 
 
 @query
@@ -864,14 +864,16 @@ def gold_payments_analysis(t: Tables) -> DataFrame:
 
 @query
 def gold_product_performance(t: Tables) -> DataFrame:
-    scores = silver.product_scores(t["b_reviews"])
-    return gold.product_performance(t["b_products"], t["b_categories"], scores, t["b_reviews"], t["b_items"])
+    reviews = t.stored("b_reviews")
+    scores = silver.product_scores(reviews)
+    return gold.product_performance(t["b_products"], t["b_categories"], scores, reviews, t["b_items"])
 
 
 @query
 def gold_product_performance_exact(t: Tables) -> DataFrame:
-    scores = silver.product_scores(t["b_reviews"])
-    return gold.product_performance(t["b_products"], t["b_categories"], scores, t["b_reviews"], t["b_items"], exact=True)
+    reviews = t.stored("b_reviews")
+    scores = silver.product_scores(reviews)
+    return gold.product_performance(t["b_products"], t["b_categories"], scores, reviews, t["b_items"], exact=True)
 
 
 @query
@@ -919,28 +921,45 @@ def dq_silver_report(t: Tables) -> DataFrame:
     return _flat(quality.silver_report(t["documents"], wide=True))
 
 
+def _steady(record: DataFrame) -> DataFrame:
+    """A metadata record without what differs between runs: times, durations and paths."""
+    columns = F.array_join("columns", ",")
+    moving = ("generated_at", "processing_duration", "object_path", "target_table")
+    return record.withColumn("columns", columns).drop(*moving)
+
+
 @query
 def meta_bronze(t: Tables) -> DataFrame:
-    report = quality.bronze_report(t["r_employees"])
-    return _flat(records.bronze_record(report, t["r_employees"].columns, "employees", "bronze", "/staging/employees"))
+    employees = t["r_employees"]
+    report = quality.bronze_report(employees)
+    return _steady(_flat(records.bronze_record(report, employees.columns, "employees", "bronze", "/staging/employees")))
 
 
 @query
 def meta_silver(t: Tables) -> DataFrame:
-    brands = _silver(t, "brands")
-    report = quality.silver_report(brands)
-    return records.as_json(records.silver_record(report, brands.columns, "brands", "silver", "/silver/brands", duration=1.5))
+    orders = t["b_orders"]
+    report = quality.silver_report(orders)
+    record = records.silver_record(report, orders.columns, "orders", "silver", "/silver/orders", duration=1.5)
+    return _steady(_flat(record))
 
 
 @query
 def meta_gold(t: Tables) -> DataFrame:
     written = gold_order_performance(t)
-    return records.gold_record(written, "order_performance", "gold.order_performance", "/gold/order_performance")
+    return _steady(records.gold_record(written, "order_performance", "gold.order_performance", "/gold/order_performance"))
+
+
+@query
+def meta_as_json(t: Tables) -> DataFrame:
+    written = gold_order_performance(t)
+    record = records.gold_record(written, "order_performance", "gold.order_performance", "/gold/order_performance")
+    return records.as_json(record.drop("generated_at"))
 
 
 @query
 def layer_bronze(t: Tables) -> DataFrame:
-    return _flat(layers.run_bronze(t["r_employees"], new_folder(t.spark, "bronze"), "bronze", "employees").record)
+    done = layers.run_bronze(t["r_employees"], new_folder(t.spark, "bronze"), "bronze", "employees")
+    return _steady(_flat(done.record))
 
 
 @query
@@ -949,15 +968,16 @@ def layer_silver(t: Tables) -> DataFrame:
         t["r_brands"], silver.brands, new_folder(t.spark, "brands"), CATALOG, SCHEMA, _table("brands"),
         table_path=new_folder(t.spark, "brands-table"),
     )
-    return _flat(done.record)
+    return _steady(_flat(done.record)).drop("dataset")
 
 
 @query
 def layer_gold(t: Tables) -> DataFrame:
-    return layers.run_gold(
+    done = layers.run_gold(
         t.spark, lambda: gold_order_performance(t), "order_performance", CATALOG, SCHEMA,
         new_folder(t.spark, "order_performance"), _table("order_performance"),
-    ).record
+    )
+    return _steady(done.record)
 
 
 def plain(df: DataFrame) -> DataFrame:

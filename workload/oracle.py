@@ -596,7 +596,7 @@ ORACLES: dict[str, str] = {
     "fn_weighted_bucket": f"""SELECT event_id, {h('event_id')} % 10000 AS slot, {weighted(quoted(EVENT_WEIGHTS), 'event_id')} AS event_type,
         {dbl(weighted(SCORES, "'score'", 'event_id'))} AS score, {METHOD_LIST}[{h('event_id')} % 6 + 1] AS method FROM {{b_behaviors}}""",
     # logs
-    "log_assemble_records": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, min(line_no) AS first_line, count(*) AS lines,
+    "log_assemble_records": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, CAST(0 AS BIGINT) AS part_no, min(line_no) AS first_line, count(*) AS lines,
         string_agg(line, chr(10) ORDER BY line_no) AS message
         FROM (SELECT *, sum(CASE WHEN line LIKE '[%' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line_no
               ROWS UNBOUNDED PRECEDING) AS record_no FROM {log_lines}) t GROUP BY 1, 2""",
@@ -871,6 +871,39 @@ ORACLES: dict[str, str] = {
         FROM {{documents}}""",
 }
 
+EMPLOYEE_COLUMNS = ["emp_id", "emp_name", "emp_gender", "emp_phone", "emp_email", "emp_born", "emp_address", "emp_account",
+                    "emp_password", "emp_role", "sub_id", "ingestion_time", "source_file"]
+ORDER_COLUMNS = ["order_id", "acc_id", "order_status", "total_amount", "total_shipfee", "target_city", "target_district",
+                 "created_at", "confirmed_at", "shipped_at", "estimated_delivery_date", "delivered_at"]
+BRAND_COLUMNS = ["brand_id", "brand_name", "brand_country", "created_at", "updated_at", "ingestion_time", "source_file"]
+MONTH_COLUMNS = ["year", "month", "total_orders", "hope_total_revenue", "avg_order_value", "delivered_orders",
+                 "real_total_revenue", "cancelled_orders", "cancelled_hopeful_revenue"]
+
+
+def _record(table: str, key: str, columns: list[str], layer: str, fmt: str, all_columns: bool, dataset: str = "") -> str:
+    nulls = [f"CASE WHEN count(*) > count({c}) THEN '{c}' END" for c in sorted(columns)]
+    found = f"concat_ws(', ', {', '.join(nulls)})"
+    name = f"'{dataset}' AS dataset, " if dataset else ""
+    return f"""SELECT true AS is_valid, count(*) AS row_count, {len(columns)} AS column_count,
+        count(*) - count(DISTINCT {key}) AS duplicate_count, {' + '.join(f'(count(*) - count({c}))' for c in columns)} AS null_count,
+        {_profile_text(columns, table, all_columns)} AS null_details, true AS schema_valid, '' AS error_messages,
+        CASE WHEN {found} <> '' THEN 'nulls in ' || {found} ELSE '' END AS warning_messages, {name}'{layer}' AS layer,
+        '{fmt}' AS format, '{','.join(columns)}' AS columns, 'quaymark' AS framework, '1.0.0' AS framework_version
+        FROM {table}"""
+
+
+_GOLD_RECORD = f"""SELECT count(DISTINCT date_trunc('month', created_at)) AS row_count, {len(MONTH_COLUMNS)} AS column_count,
+    'order_performance' AS query_name, 'gold' AS layer, 'SUCCESS' AS status, 'parquet' AS format, '{','.join(MONTH_COLUMNS)}' AS columns,
+    'quaymark' AS framework, '1.0.0' AS framework_version FROM {{b_orders}}"""
+ORACLES |= {
+    "meta_bronze": _record("{r_employees}", "emp_id", EMPLOYEE_COLUMNS, "bronze", "csv", False, "employees"),
+    "layer_bronze": _record("{r_employees}", "emp_id", EMPLOYEE_COLUMNS, "bronze", "csv", False, "employees"),
+    "meta_silver": _record("{b_orders}", "order_id", ORDER_COLUMNS, "silver", "parquet", True, "orders"),
+    "layer_silver": _record(f"({ORACLES['silver_brands']}) t", "brand_id", BRAND_COLUMNS, "silver", "parquet", True),
+    "meta_gold": _GOLD_RECORD,
+    "layer_gold": _GOLD_RECORD,
+}
+
 
 def all_sql() -> dict[str, str]:
     return {name: complete(text) for name, text in ORACLES.items()}
