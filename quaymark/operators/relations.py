@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import percent
+from ..session import stage
+
 
 def known_rows(df: DataFrame, reference: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key occurs in the reference."""
@@ -38,9 +41,12 @@ def top_groups(df: DataFrame, keys: Sequence[str], name: str, n: int | None = No
     return ranked if n is None else ranked.limit(n)
 
 
-def with_share(df: DataFrame, column: str, name: str, places: int = 2) -> DataFrame:
-    """Percentage of the column's total, taken from a one-row scalar subquery."""
-    from ..functions.money import percent
+def with_shares(df: DataFrame, names: Mapping[str, str], places: int = 2) -> DataFrame:
+    """Percentage of each column's total.
 
-    total = df.agg(F.sum(column)).scalar()
-    return df.withColumn(name, percent(F.col(column), total, places))
+    The (already aggregated) rows are written first, so that the totals and the rows read them without
+    computing them twice; the totals come from one scalar subquery.
+    """
+    held = stage(df, "shares")
+    totals = held.agg(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()
+    return held.withColumns({n: percent(F.col(c), totals[c], places) for c, n in names.items()})

@@ -14,6 +14,7 @@ from ..functions import money, rules, times
 from ..functions.money import half_up, percent, ratio, rounded_ratio
 from ..operators import relations
 from ..operators.keys import ntile
+from ..session import stage
 
 HUNDRED_THOUSAND = 100000.0
 BIG = "decimal(38,2)"
@@ -202,10 +203,7 @@ def _times(a: str, b: str, kind: str = BIG) -> Column:
     return F.sum((F.col(a) * F.col(b)).cast(kind))
 
 
-def _category_shares(df: DataFrame) -> DataFrame:
-    for column, name in (("total_revenue", "revenue_share"), ("total_sold", "sold_share"), ("total_orders", "orders_share")):
-        df = relations.with_share(df, column, name)
-    return df
+SHARES = {"total_revenue": "revenue_share", "total_sold": "sold_share", "total_orders": "orders_share"}
 
 
 def category_performance(
@@ -218,6 +216,8 @@ def category_performance(
     """
     located = products.select("product_id", "category_id")
     both = _item_totals(order_items).join(_review_totals(reviews), "product_id").join(located, "product_id")
+    # one row per product, read twice below; written so that reviews are read once
+    both = stage(both, "product-totals")
     if exact:
         sold, revenue = F.sum("_quantity"), F.sum("_revenue")
         score = rounded_ratio(F.sum("_score"), F.sum("_reviews"))
@@ -235,13 +235,11 @@ def category_performance(
         price.alias("avg_price"),
     )
     # distinct orders need the rows: one per order and category, over reviewed products only
-    reviewed = located.join(reviews.select("product_id").distinct(), "product_id", "left_semi")
     orders = (
         order_items.select("product_id", "order_id")
-        .distinct()
-        .join(reviewed, "product_id")
-        .select("category_id", "order_id")
-        .distinct()
+        .join(both.select("product_id", "category_id"), "product_id")
+        .groupBy("category_id", "order_id")
+        .agg(_rows().alias("_n"))
         .groupBy("category_id")
         .agg(_rows().alias("total_orders"))
     )
@@ -250,7 +248,7 @@ def category_performance(
         F.col("category_id").alias("cate_id"), "cate_name", "total_products", "total_sold", "total_orders",
         "total_revenue", "avg_review_score", "avg_price",
     )
-    return _category_shares(ordered)
+    return relations.with_shares(ordered, SHARES)
 
 
 def product_performance(
@@ -512,8 +510,8 @@ def payments_analysis(payments: DataFrame, orders: DataFrame, order_items: DataF
         F.max("_max").alias("max_items"),
         F.min("_min").alias("min_items"),
     )
-    revenue = orders.agg(_sum("total_amount")).scalar()
-    customers = orders.select("acc_id").distinct().agg(F.count("acc_id")).scalar()
+    everyone = orders.groupBy("acc_id").agg(_sum("total_amount").alias("_v"))
+    totals = everyone.agg(F.struct(_sum("_v").alias("revenue"), F.count("acc_id").alias("customers"))).scalar()
     count = F.col("total_orders")
     names = {"paid": "success", "pending": "pending", "failed": "failed", "refunded": "refunded"}
     return per_method.select(
@@ -526,8 +524,8 @@ def payments_analysis(payments: DataFrame, orders: DataFrame, order_items: DataF
         "max_items",
         "min_items",
         rules.payment_channel(F.col("payment_method")).alias("payment_channel"),
-        rounded_ratio(F.col("total_revenue"), revenue).alias("payment_share_pct"),
-        rounded_ratio(F.col("total_customers"), customers).alias("payment_customers_pct"),
+        rounded_ratio(F.col("total_revenue"), totals["revenue"]).alias("payment_share_pct"),
+        rounded_ratio(F.col("total_customers"), totals["customers"]).alias("payment_customers_pct"),
         *[rounded_ratio(F.col(f"total_{n}"), count).alias(f"payment_{o}_rate") for n, o in names.items()],
     ).orderBy(F.desc("total_orders"), "payment_method")
 

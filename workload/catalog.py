@@ -439,7 +439,7 @@ def win_ntile_scores(t: Tables) -> DataFrame:
 
 @query
 def win_share_of_total(t: Tables) -> DataFrame:
-    return relations.with_share(relations.group_count(t["b_products"], ["category_id"], "products"), "products", "share")
+    return relations.with_shares(relations.group_count(t["b_products"], ["category_id"], "products"), {"products": "share"})
 
 
 @query
@@ -799,12 +799,12 @@ def gold_category_metrix(t: Tables) -> DataFrame:
 
 @query
 def gold_category_performance(t: Tables) -> DataFrame:
-    return gold.category_performance(t["b_products"], t["b_categories"], t.stored("b_reviews"), t["b_items"])
+    return gold.category_performance(t["b_products"], t["b_categories"], t["b_reviews"], t["b_items"])
 
 
 @query
 def gold_category_performance_exact(t: Tables) -> DataFrame:
-    return gold.category_performance(t["b_products"], t["b_categories"], t.stored("b_reviews"), t["b_items"], exact=True)
+    return gold.category_performance(t["b_products"], t["b_categories"], t["b_reviews"], t["b_items"], exact=True)
 
 
 @query
