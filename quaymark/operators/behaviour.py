@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import sequence_id
 from ..functions.times import whole_seconds
 from .keys import dense_keys
-from .ordered import has_hot_group, ordered
+from .ordered import hot_groups, ordered
 
 GAP_MINUTES = 30
 
@@ -22,7 +22,7 @@ def sessionize(
     tie: Sequence[str] = ("event_id",),
     gap_minutes: int = GAP_MINUTES,
     name: str = "session_no",
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Number the sessions of each user: a new one starts after more than the gap, in whole seconds."""
     rows = ordered(events, [user], [time, *tie], split)
@@ -38,7 +38,7 @@ def repair_funnel(
     session: Sequence[str] = ("acc_id", "session_no"),
     order: Sequence[str] = ("event_time", "event_id"),
     kind: str = "event_type",
-    split: bool | None = None,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Demote events whose earlier step is missing in the session.
 
@@ -65,9 +65,9 @@ def rebuild_sessions(events: DataFrame, user: str = "acc_id") -> DataFrame:
 
     Sessions are parts of users, so when no user is large no session is, and the second check is saved.
     """
-    large_user = has_hot_group(events, [user])
-    numbered = sessionize(events, user, split=large_user)
-    repaired = repair_funnel(numbered, (user, "session_no"), split=None if large_user else False)
+    large = hot_groups(events, [user])
+    numbered = sessionize(events, user, split=False if large is None else large)
+    repaired = repair_funnel(numbered, (user, "session_no"), split=False if large is None else None)
     keyed = repaired.withColumn("_session", F.concat_ws("_", F.col(user), F.col("session_no")))
     ranked = dense_keys(keyed, ["_session"], "_session_rank")
     return ranked.withColumn("session_id", sequence_id(F.col("_session_rank"), "SS", 8)).drop(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_match
 from ..functions.times import parse_time
-from .ordered import has_hot_group, item_sequence, ordered
+from .ordered import hot_groups, item_sequence, ordered
 
 # The record pattern, the path pattern and the words that mean trouble.
 RECORD = r"\[(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}[.,]\d{3})\] \{([^}]*)\} ([A-Za-z]+) - (.*)"
@@ -30,12 +30,13 @@ def assemble_records(
     start of a file. A record of more than `max_lines` lines comes in numbered parts, so that neither a
     large file nor a file without any start becomes one row in one task; no line is lost.
     """
-    large_file = has_hot_group(lines, [path]) if split is None else split
-    rows = ordered(lines, [path], [line_no], large_file)
+    large = hot_groups(lines, [path]) if split is None else split
+    some_large = large is not None and large is not False
+    rows = ordered(lines, [path], [line_no], large if some_large else False)
     starts = F.when(F.col(line).rlike(RECORD_START), 1).otherwise(0)
     marked = rows.done(rows.running_sum(rows.frame, starts, "record_no"))
     # records are parts of files, so a second check is needed only where some file is large
-    placed = item_sequence(marked, [path, "record_no"], [line_no], "_place", None if large_file else False)
+    placed = item_sequence(marked, [path, "record_no"], [line_no], "_place", None if some_large else False)
     part = F.floor((F.col("_place") - 1) / max_lines)
     parts = F.array_sort(F.collect_list(F.struct(F.col(line_no).alias("at"), F.col(line).alias("text"))))
     grouped = placed.groupBy(path, "record_no", part.alias("part_no")).agg(

@@ -1,11 +1,12 @@
 """Ordered scans per key that never put an unbounded group into one task.
 
 Lag, running sums and numbering need the rows of a key in order. A plain window gives one task all
-rows of a key, which fails when one key holds a large part of the table. So the size of the largest
-group is checked first. If every group is small, a plain window is used. Otherwise the rows are
-range partitioned on (key, order), which splits a large group over many slices; each slice is scanned
-on its own, and what a slice must know of the slices before it (the last value, the sum so far) comes
-from a summary with at most two rows per slice, which is small enough to broadcast.
+rows of a key, which fails when one key holds a large part of the table. So large keys are looked for
+first. Without any, a plain window is used. Otherwise the rows of the large keys are range partitioned
+on (key, order), which splits each over many slices, while the rows of the other keys form one slice of
+their own number per key. Every (slice, key) is scanned on its own, and what a slice must know of the
+slices before it (the last value, the sum so far) comes from a summary with at most two rows per slice,
+which is small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ def hot_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> bool:
-    """Whether some group has more rows than one task should hold.
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
+    """The keys with more rows than one task should hold, or None.
 
     Only the key columns are read, and of a large limit only a sample is counted: enough rows that a
-    group of the limit shows SAMPLED of them. The answer only picks the faster of two exact ways.
+    group of the limit shows SAMPLED of them. The answer only picks the faster of two exact ways. It
+    is written, so that every later step sees the same keys.
     """
     limit = hot_limit(df.sparkSession) if limit is None else limit
     share = SAMPLED / limit if limit > SAMPLED else 1.0
@@ -41,7 +43,8 @@ def has_hot_group(df: DataFrame, keys: Sequence[str], limit: int | None = None)
     if share < 1.0:
         seen, limit = seen.sample(share, seed=1), int(SAMPLED * 0.8)
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return not counts.filter(F.col("_n") > limit).isEmpty()
+    found = stage(counts.filter(F.col("_n") > limit).select(*keys), "hot-keys")
+    return None if found.isEmpty() else found
 
 
 def _as_columns(columns: Sequence[str | Column]) -> list[Column]:
@@ -80,8 +83,8 @@ class OrderedRows:
     @property
     def window(self):
         if self.split:
-            # the mark depends on the key; as a window key, a filter on it moves below the window
-            return Window.partitionBy(SLICE, CROSSES, *self.keys).orderBy(POS)
+            # the mark depends on the slice and key; as a window key, a filter on it moves below the window
+            return Window.partitionBy(SLICE, CROSSES, *self.keys).orderBy(*self.order)
         return Window.partitionBy(*self.keys).orderBy(*self.order)
 
     def previous(self, frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -91,7 +94,7 @@ class OrderedRows:
         tails = self._crossing(frame).groupBy(SLICE, *self.keys).agg(F.max_by(column, POS).alias("_tail"))
         carry = tails.withColumn("_carry", F.lag("_tail").over(self._across)).drop("_tail")
         marked = frame.withColumns(
-            {"_here": F.lag(column).over(self.window), "_head": F.lag(POS).over(self.window).isNull()}
+            {"_here": F.lag(column).over(self.window), "_head": F.lag(F.lit(1)).over(self.window).isNull()}
         )
         value = F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_here"))
         return self._attach(marked, carry).withColumn(name, value).drop("_here", "_head", "_carry")
@@ -144,19 +147,34 @@ def _mark_crossing(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ordered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: bool | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: bool | DataFrame | None = None
 ) -> OrderedRows:
-    """Arrange rows by key and order; `split` is decided by the largest group when not given."""
+    """Arrange rows by key and order.
+
+    `split` is the frame of large keys, found here when not given; False splits nothing, True every key.
+    """
     if split is None:
-        split = has_hot_group(df, keys)
-    if split:
+        split = hot_groups(df, keys)
+    if split is None or split is False:
+        return OrderedRows(df, tuple(keys), tuple(order), False)
+    if split is True:
         placed = _mark_crossing(slice_rows(df, [*keys, *order]), keys)
         return OrderedRows(placed, tuple(keys), tuple(order), True)
-    return OrderedRows(df, tuple(keys), tuple(order), False)
+    large = split.select(*[F.col(k).alias(f"_large_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys]
+    placed = _mark_crossing(slice_rows(df.join(large, same, "left_semi"), [*keys, *order]), keys)
+    rest = df.join(large, same, "left_anti").withColumns(
+        {SLICE: F.lit(-1).cast("bigint"), POS: F.lit(None).cast("bigint"), CROSSES: F.lit(False)}
+    )
+    return OrderedRows(placed.unionByName(rest), tuple(keys), tuple(order), True)
 
 
 def item_sequence(
-    df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], name: str, split: bool | None = None
+    df: DataFrame,
+    parent: str | Sequence[str],
+    order: Sequence[str | Column],
+    name: str,
+    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of a parent from 1 in a total order."""
     rows = ordered(df, [parent] if isinstance(parent, str) else list(parent), order, split)
