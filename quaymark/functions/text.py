@@ -121,8 +121,8 @@ def account_name(first: Column, account: Column) -> Column:
     return F.concat(strip_diacritics(first), F.lit("_"), F.substring(account, 4, 8))
 
 
-def photo_link(product: Column, version: Column) -> Column:
-    return F.concat(F.lit("https://cdn.ecomstore.com/products/"), product, F.lit("/"), version, F.lit(".jpg"))
+def photo_link(base: str, product: Column, version: Column) -> Column:
+    return F.concat(F.lit(base.rstrip("/") + "/"), product, F.lit("/"), version, F.lit(".jpg"))
 
 
 def identity(email: Column, number: Column) -> Column:

@@ -34,8 +34,8 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     """The keys with more rows than one task should hold, or None.
 
     Only the key columns are read, and of a large limit only a sample is counted: enough rows that a
-    group of the limit shows SAMPLED of them. The answer only picks the faster of two exact ways. It
-    is written, so that every later step sees the same keys.
+    group of the limit shows SAMPLED of them. The answer only picks the faster of two exact ways. Keys
+    that are found are written, so that every later step sees the same ones.
     """
     limit = hot_limit(df.sparkSession) if limit is None else limit
     share = SAMPLED / limit if limit > SAMPLED else 1.0
@@ -43,8 +43,8 @@ def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) ->
     if share < 1.0:
         seen, limit = seen.sample(share, seed=1), int(SAMPLED * 0.8)
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = stage(counts.filter(F.col("_n") > limit).select(*keys), "hot-keys")
-    return None if found.isEmpty() else found
+    large = counts.filter(F.col("_n") > limit).select(*keys)
+    return None if large.isEmpty() else stage(large, "hot-keys")
 
 
 def _as_columns(columns: Sequence[str | Column]) -> list[Column]:

@@ -152,8 +152,8 @@ def _description(name: Column, *key: Column) -> Column:
     return F.try_element_at(F.array(*texts), hashing.bucket(len(texts), *key).cast("int") + 1)
 
 
-def products(raw: DataFrame, stock: DataFrame) -> DataFrame:
-    """`stock` is the silver sub_products table."""
+def products(raw: DataFrame, stock: DataFrame, photo_base: str) -> DataFrame:
+    """`stock` is the silver sub_products table; photos are linked below `photo_base`."""
     quantity = stock.groupBy("product_id").agg(F.sum("quantity").alias("_stock"))
     weight = F.col("product_weight_g")
     sides = [F.col(f"product_{s}_cm") for s in ("length", "height", "width")]
@@ -181,7 +181,7 @@ def products(raw: DataFrame, stock: DataFrame) -> DataFrame:
         "product_width_cm",
         "product_volume_cm3",
         money.density(weight, F.col("product_volume_cm3")).alias("product_density_g_cm3"),
-        text.photo_link(key, F.col("product_version")).alias("product_photos_link"),
+        text.photo_link(photo_base, key, F.col("product_version")).alias("product_photos_link"),
         hashing.offset(3, 10, key).cast("int").alias("product_photos_qty"),
         "created_at",
         "updated_at",

@@ -21,6 +21,7 @@ Query = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CATALOG, SCHEMA = "spark_catalog", "default"
+PHOTOS = "https://cdn.shop.example/products"
 
 
 def query(fn: Query) -> Query:
@@ -513,7 +514,7 @@ def fn_name_parts(t: Tables) -> DataFrame:
         text.customer_email(first, last, F.lit(7)).alias("email"),
         text.company_email(first, last, F.lit("EP0042"), "shop.example").alias("company_email"),
         text.account_name(first, text.account_id(F.col("user_id"))).alias("account_name"),
-        text.photo_link(F.col("user_id"), F.lit("v1")).alias("photo"),
+        text.photo_link(PHOTOS, F.col("user_id"), F.lit("v1")).alias("photo"),
     )
 
 
@@ -736,7 +737,7 @@ SILVER: dict[str, Query] = {
     "customers": lambda t: silver.customers(t["r_users"], as_of(), _raw_spend(t)),
     "employees": lambda t: silver.employees(t["r_employees"], "shop.example"),
     "sub_products": lambda t: silver.sub_products(t["r_sub_products"]),
-    "products": lambda t: silver.products(t["r_products"], _silver(t, "sub_products")),
+    "products": lambda t: silver.products(t["r_products"], _silver(t, "sub_products"), PHOTOS),
     "subsidiaries": lambda t: silver.subsidiaries(t["r_subsidiaries"]),
     "program_sales": lambda t: silver.program_sales(t["r_program_sales"]),
     "carts_base": lambda t: silver.carts_base(t["r_carts"]),

@@ -574,7 +574,7 @@ ORACLES: dict[str, str] = {
         {plain_letters(FIRST)} || '.' || {plain_letters(f"replace({LAST}, ' ', '')")} || '007@gmail.com' AS email,
         {plain_letters(FIRST)} || {plain_letters(f"string_split({LAST}, ' ')[1]")} || '0042@shop.example' AS company_email,
         {plain_letters(FIRST)} || '_' || ({pad(digits('user_id', 'KH'), 8)}) AS account_name,
-        'https://cdn.ecomstore.com/products/' || user_id || '/v1.jpg' AS photo FROM {{r_users}}""",
+        'https://cdn.shop.example/products/' || user_id || '/v1.jpg' AS photo FROM {{r_users}}""",
     "fn_parse_dates": f"""SELECT user_id, {parse('user_createdat')} AS created_at,
         CAST({parse('user_createdat')} AS DATE) AS created_on, try_cast(user_born AS DATE) AS born FROM {{r_users}}""",
     "fn_date_parts": """SELECT order_id, CAST(year(created_at) AS INT) AS year, CAST(month(created_at) AS INT) AS month,
@@ -702,7 +702,7 @@ ORACLES: dict[str, str] = {
             "'Ideal choice for everyday needs. ' || product_name || ' combines quality and value'",
         ])}][{h('product_id')} % 5 + 1] AS product_description,
         CASE WHEN product_volume_cm3 > 0 THEN {dbl('CAST(product_weight_g / product_volume_cm3 AS DECIMAL(18,4))')} ELSE 0.0 END AS product_density_g_cm3,
-        'https://cdn.ecomstore.com/products/' || product_id || '/' || product_version || '.jpg' AS product_photos_link,
+        'https://cdn.shop.example/products/' || product_id || '/' || product_version || '.jpg' AS product_photos_link,
         CAST({off(3, 10, 'product_id')} AS INT) AS product_photos_qty FROM {{o_products}}""",
     "silver_subsidiaries": f"""SELECT sub_id, 'Subsidiary ' || substr(sub_name, 6) AS sub_name, '0' || CAST(sub_phone AS STRING) AS phone_number,
         establishment_date, sub_street, sub_district, sub_city, CAST(created_at AS DATE) AS created_at, CAST(updated_at AS DATE) AS updated_at,
