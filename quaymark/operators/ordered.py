@@ -55,13 +55,13 @@ def slice_rows(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Range partition and sort, then write each row with its slice and its position in the slice.
 
     The written copy fixes the slices: counting them and reading them see the same rows, also after
-    an executor is lost. `order` must identify a row, so that equal sort values can be split too.
+    an executor is lost. `order` must identify a row, so that equal sort values can be split too. There
+    are at most spark.sql.shuffle.partitions slices; adaptive execution joins small neighbours.
     """
     columns = _as_columns(order)
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     mark = F.monotonically_increasing_id()
     laid = (
-        df.repartitionByRange(slices, *columns)
+        df.repartitionByRange(*columns)
         .sortWithinPartitions(*columns)
         .withColumn("_mark", mark)
         .withColumn(SLICE, F.shiftright("_mark", _POS_BITS))

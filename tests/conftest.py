@@ -19,6 +19,8 @@ def spark():
         **{
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": 8,
+            # keep small fixtures spread over several slices
+            "spark.sql.adaptive.coalescePartitions.enabled": False,
             "spark.ui.enabled": False,
             "spark.driver.memory": "8g",
         },
