@@ -9,9 +9,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SMALL
 from tools.check import compare, connect
+from workload import catalog, oracle
 
-SQL = entry.oracle_sql()
-NAMES = list(entry.queries())
+SQL = oracle.all_sql()
+NAMES = list(catalog.QUERIES)
 WITHOUT_SQL = {"agg_approx_distinct", "ts_percentiles_approx", "meta_as_json"}
 
 
