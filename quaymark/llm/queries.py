@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, token_counts
+from . import exact_dedup, language_id, mixing, packing, quality, secrets, token_counts, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,10 +24,41 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), VOCABULARY, LIMIT)
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language_id(_table(spark, folder, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), VOCABULARY, LIMIT)
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.importance(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def _listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(_table(spark, folder, "documents"), VOCABULARY)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return exact_dedup.classes(documents, exact_dedup.earlier_half(documents))
@@ -38,9 +70,13 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_best_fit_packing, op3_token_counts, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (
+    op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op7_secret_scan,
+    op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup,
+)}
 
 SQL: dict[str, str] = {
+    "op9_source_mixing": mixing.oracle(),
     "op10_exact_dedup": """
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
