@@ -21,7 +21,7 @@ from quaymark.session import stage
 from .common import unit_hash
 
 ROUNDS = 12
-POWER = 0.7
+POWER = 0.9
 MARGINS = ("source", "lang", "topic")
 #: Digits of a probability; finer ones would depend on the order of summation.
 DIGITS = 9
@@ -100,7 +100,7 @@ def oracle(power: float = POWER, rounds: int = ROUNDS) -> str:
         f"""f AS MATERIALIZED (
             SELECT doc_id, source, lang, tokens, CASE WHEN tokens < 64 THEN 'note' WHEN tokens < 256 THEN 'short'
                    WHEN tokens < 1024 THEN 'article' ELSE 'book' END AS topic
-            FROM (SELECT doc_id, source, lang, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS tokens
+            FROM (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
                   FROM documents))""",
         "c0 AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM f GROUP BY ALL)",
     ]

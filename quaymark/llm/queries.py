@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, quality, secrets, token_counts, vectors
+from . import exact_dedup, language_id, mixing, near_dedup, packing, quality, secrets, token_counts, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, folder, "documents"), width=2)
+
+
 def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, folder, "embeddings"))
 
@@ -71,7 +75,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op7_secret_scan,
+    op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op6_minhash_near_dedup, op7_secret_scan,
     op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup,
 )}
 
