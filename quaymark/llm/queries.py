@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, near_dedup, packing, quality, secrets, token_counts, vectors
+from . import exact_dedup, language_id, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,12 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, folder, "documents"))
+    kept = F.when(F.col("kept").isNull(), F.lower(F.hex("sha"))).otherwise(F.sha2(F.col("kept"), 256))
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.classes(_table(spark, folder, "documents"), width=2)
 
@@ -75,7 +81,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op6_minhash_near_dedup, op7_secret_scan,
+    op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op5_substring_dedup,
+    op6_minhash_near_dedup, op7_secret_scan,
     op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup,
 )}
 
