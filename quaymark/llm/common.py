@@ -34,6 +34,13 @@ def unit_hash(*columns: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
 
 
+def semi_joined(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` whose key is in the one column of `kept`, with all their columns, whatever their names."""
+    whole = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("row_key"))
+    ids = kept.toDF("kept_key").distinct()
+    return whole.join(ids, whole["row_key"].eqNullSafe(ids["kept_key"]), "left_semi").select("row.*")
+
+
 class Memo(dict):
     """A dictionary that is emptied when it is full, so that a long-lived worker stays bounded."""
 

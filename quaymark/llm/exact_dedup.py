@@ -190,8 +190,7 @@ def earlier_half(docs: DataFrame, key: str = "doc_id") -> Column:
 
 def distinct(docs: DataFrame, history: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, one of each class, with all their columns."""
-    kept = classes(docs, history, key, text).where("kept").select(F.col("doc_id").alias("_key"), F.unhex("text_sha256").alias("_digest"))
-    rows = docs.withColumns({"_key": F.col(f"`{key}`").cast("long"), "_digest": digest_of(text)})
-    same = F.col("k._key").eqNullSafe(F.col("d._key")) & (F.col("k._digest") == F.col("d._digest"))
-    left = rows.alias("d").join(kept.alias("k"), same, "left_semi")
-    return left.dropDuplicates(["_digest"]).select(*docs.columns)
+    kept = classes(docs, history, key, text).where("kept").select(F.col("doc_id").alias("kept_key"), F.unhex("text_sha256").alias("kept_digest"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("row_key"), digest_of(text).alias("row_digest"))
+    same = rows["row_key"].eqNullSafe(kept["kept_key"]) & (rows["row_digest"] == kept["kept_digest"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["row_digest"]).select("row.*")

@@ -85,13 +85,16 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", topic: str | N
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", topic: str | None = None, power: float = POWER) -> DataFrame:
     """The documents drawn, with all their columns."""
-    tokens = words(text)
-    marked = docs.withColumn("_topic", F.col(f"`{topic}`") if topic else length_topic(tokens))
-    odds = mix(docs, key, text, topic, power).groupBy(*MARGINS).agg(F.max("probability").alias("_chance"))
-    odds = stage(odds.select(*(F.col(m).alias(f"_o_{m}") for m in MARGINS), "_chance"), "odds")
-    same = [marked[c].eqNullSafe(odds[f"_o_{m}"]) for c, m in (("source", "source"), ("lang", "lang"), ("_topic", "topic"))]
-    drawn = F.col("_chance") > unit_hash(F.lit(SEED), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(0)))
-    return marked.join(odds, same).where(drawn).select(*docs.columns)
+    facets = F.col(f"`{topic}`") if topic else length_topic(words(text))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(f"`{key}`").cast("long").alias("row_key"), F.col("source").alias("row_source"),
+        F.col("lang").alias("row_lang"), facets.alias("row_topic"),
+    )
+    odds = mix(docs, key, text, topic, power).groupBy(*MARGINS).agg(F.max("probability").alias("chance"))
+    odds = stage(odds, "odds")
+    same = [rows[f"row_{m}"].eqNullSafe(odds[m]) for m in MARGINS]
+    drawn = F.col("chance") > unit_hash(F.lit(SEED), F.coalesce("row_key", F.lit(0)))
+    return rows.join(odds, same).where(drawn).select("row.*")
 
 
 def oracle(power: float = POWER, rounds: int = ROUNDS) -> str:

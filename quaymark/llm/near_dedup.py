@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quaymark.session import stage
 
-from .common import key_and_text, slices
+from .common import key_and_text, semi_joined, slices
 from .components import components
 
 BANDS, ROWS = 40, 5
@@ -223,6 +223,4 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_
 
 def distinct(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each class, with all its columns."""
-    kept = classes(docs, width, percent, key, text).where("kept").select(F.col("doc_id").alias("_keep"))
-    same = F.col(f"d.`{key}`").cast("long").eqNullSafe(F.col("k._keep"))
-    return docs.alias("d").join(kept.distinct().alias("k"), same, "left_semi")
+    return semi_joined(docs, classes(docs, width, percent, key, text).where("kept").select("doc_id"), key)

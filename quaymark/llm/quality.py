@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quaymark.session import stage
 
-from .common import key_and_text, slices, unit_hash
+from .common import key_and_text, semi_joined, slices, unit_hash
 
 BUCKETS = 16_384
 MAX_LABELS = 50_000
@@ -156,3 +156,8 @@ def importance(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     least = kth_largest(keyed, k)
     kept = F.coalesce(F.col("sample_key") >= F.lit(least), F.lit(False)) if least is not None else F.lit(False)
     return keyed.withColumn("kept", kept)
+
+
+def drawn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", seed: int = 7) -> DataFrame:
+    """The documents drawn, with all their columns; an id that several rows have is drawn if one of them is."""
+    return semi_joined(docs, importance(docs, labels, key, text, seed).where("kept").select("doc_id"), key)

@@ -83,7 +83,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op5_substring_dedup,
     op6_minhash_near_dedup, op7_secret_scan,
-    op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup,
+    op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup, pipeline,
 )}
 
 SQL: dict[str, str] = {

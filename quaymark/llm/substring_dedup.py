@@ -37,7 +37,6 @@ WINDOW, PHRASE = 50, 8
 TILE = WINDOW // 2
 #: Bytes of candidate texts in a shard, on average.
 SHARD_BYTES = 2_000_000
-NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
