@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def key_number(*parts: Column) -> Column:
-    """First 32 bits of the md5 of the joined key, as a long. Equal in any engine with md5."""
+    """First 60 bits of the md5 of the joined key, as a long. Equal in any engine with md5."""
     text = F.concat_ws("|", *[p.cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def bucket(buckets: int, *parts: Column) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import sequence_id
 from ..functions.times import whole_seconds
-from .keys import dense_keys
-from .ordered import hot_groups, ordered
+from ..session import stage
+from .ordered import ordered
 
 GAP_MINUTES = 30
 
@@ -22,10 +22,9 @@ def sessionize(
     tie: Sequence[str] = ("event_id",),
     gap_minutes: int = GAP_MINUTES,
     name: str = "session_no",
-    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Number the sessions of each user: a new one starts after more than the gap, in whole seconds."""
-    rows = ordered(events, [user], [time, *tie], split)
+    rows = ordered(events, [user], [time, *tie])
     seen = rows.previous(rows.frame, time, "_before")
     idle = whole_seconds(F.col(time)) - whole_seconds(F.col("_before"))
     opens = F.when(F.col("_before").isNull() | (idle > gap_minutes * 60), 1).otherwise(0)
@@ -38,14 +37,13 @@ def repair_funnel(
     session: Sequence[str] = ("acc_id", "session_no"),
     order: Sequence[str] = ("event_time", "event_id"),
     kind: str = "event_type",
-    split: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Demote events whose earlier step is missing in the session.
 
     A purchase needs a checkout before it, a checkout and a removal need an add to cart. Earlier
     events count with their original type, also when they are demoted themselves.
     """
-    rows = ordered(events, list(session), list(order), split)
+    rows = ordered(events, list(session), list(order))
     carts = F.when(F.col(kind) == "add_to_cart", 1).otherwise(0)
     checkouts = F.when(F.col(kind) == "checkout", 1).otherwise(0)
     counted = rows.running_sum(rows.frame, carts, "_carts", inclusive=False)
@@ -63,13 +61,16 @@ def repair_funnel(
 def rebuild_sessions(events: DataFrame, user: str = "acc_id") -> DataFrame:
     """Sessions, repaired funnels and a global session id.
 
-    Sessions are parts of users, so when no user is large no session is, and the second check is saved.
+    Sessions are numbered through from user to user in the order of their keys: a user's first number follows from
+    how many sessions the users before have, so only users are sorted.
     """
-    large = hot_groups(events, [user])
-    numbered = sessionize(events, user, split=False if large is None else large)
-    repaired = repair_funnel(numbered, (user, "session_no"), split=False if large is None else None)
-    keyed = repaired.withColumn("_session", F.concat_ws("_", F.col(user), F.col("session_no")))
-    ranked = dense_keys(keyed, ["_session"], "_session_rank")
-    return ranked.withColumn("session_id", sequence_id(F.col("_session_rank"), "SS", 8)).drop(
-        "_session", "_session_rank", "session_no"
+    numbered = stage(sessionize(events, user), "sessions")
+    repaired = repair_funnel(numbered, (user, "session_no"))
+    each = numbered.groupBy(user).agg(F.max("session_no").alias("_sessions"))
+    users = ordered(each, [], [user])
+    before = users.done(users.running_sum(users.frame, F.col("_sessions"), "_start", inclusive=False))
+    renamed = before.select(F.col(user).alias("_user"), "_start")
+    keyed = repaired.join(renamed, repaired[user].eqNullSafe(renamed["_user"]))
+    return keyed.withColumn("session_id", sequence_id(F.col("_start") + F.col("session_no"), "SS", 8)).drop(
+        "_user", "_start", "session_no"
     )

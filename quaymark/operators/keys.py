@@ -29,7 +29,7 @@ def number_rows(
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
         F.sum("_size").over(everything).alias("_all"),
     )
-    out = placed.join(F.broadcast(starts), SLICE).withColumn(name, F.col("_start") + F.col(POS) + 1)
+    out = placed.join(starts, SLICE).withColumn(name, F.col("_start") + F.col(POS) + 1)
     if total:
         out = out.withColumn(total, F.col("_all"))
     return out.drop(SLICE, POS, "_start", "_all")

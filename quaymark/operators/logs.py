@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_match
 from ..functions.times import parse_time
-from .ordered import hot_groups, item_sequence, ordered
+from .ordered import item_sequence, ordered
 
 # The record pattern, the path pattern and the words that mean trouble.
 RECORD = r"\[(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}[.,]\d{3})\] \{([^}]*)\} ([A-Za-z]+) - (.*)"
@@ -17,33 +17,28 @@ RECORD_START = r"^\["
 LAYERS = (("bronze", "bronze"), ("silver", "silver"), ("gold", "gold"), ("master", "orchestration"))
 
 
-MAX_LINES = 10_000
+def assemble_records(lines: DataFrame, path: str = "path", line_no: str = "line_no", line: str = "line") -> DataFrame:
+    """Give every line the number of its record and its place there.
 
-
-def assemble_records(
-    lines: DataFrame, path: str = "path", line_no: str = "line_no", line: str = "line", max_lines: int = MAX_LINES,
-    split: bool | None = None,
-) -> DataFrame:
-    """Join continuation lines to the record that starts above them.
-
-    Output: path, record_no, part_no, first_line, lines, message. Record 0 holds lines above the first
-    start of a file. A record of more than `max_lines` lines comes in numbered parts, so that neither a
-    large file nor a file without any start becomes one row in one task; no line is lost.
+    A record starts at a line that opens with a bracket; record 0 holds the lines above the first start of a file.
+    Lines stay rows, so a record or a file of any size is split over tasks.
     """
-    large = hot_groups(lines, [path]) if split is None else split
-    some_large = large is not None and large is not False
-    rows = ordered(lines, [path], [line_no], large if some_large else False)
+    rows = ordered(lines, [path], [line_no])
     starts = F.when(F.col(line).rlike(RECORD_START), 1).otherwise(0)
     marked = rows.done(rows.running_sum(rows.frame, starts, "record_no"))
-    # records are parts of files, so a second check is needed only where some file is large
-    placed = item_sequence(marked, [path, "record_no"], [line_no], "_place", None if some_large else False)
-    part = F.floor((F.col("_place") - 1) / max_lines)
+    return item_sequence(marked, [path, "record_no"], [line_no], "line_in_record")
+
+
+def record_texts(assembled: DataFrame, path: str = "path", line_no: str = "line_no", line: str = "line") -> DataFrame:
+    """One row per record with its joined text: path, record_no, first_line, lines, message.
+
+    A text is one value and has to fit into memory, as any value has.
+    """
     parts = F.array_sort(F.collect_list(F.struct(F.col(line_no).alias("at"), F.col(line).alias("text"))))
-    grouped = placed.groupBy(path, "record_no", part.alias("part_no")).agg(
+    grouped = assembled.groupBy(path, "record_no").agg(
         F.min(line_no).alias("first_line"), F.count(F.lit(1)).alias("lines"), parts.alias("_parts")
     )
-    message = F.array_join(F.transform("_parts", lambda p: p["text"]), "\n")
-    return grouped.withColumn("message", message).drop("_parts")
+    return grouped.withColumn("message", F.array_join(F.transform("_parts", lambda p: p["text"]), "\n")).drop("_parts")
 
 
 def structure(records: DataFrame, message: str = "message", path: str = "path") -> DataFrame:

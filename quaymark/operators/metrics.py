@@ -60,7 +60,6 @@ def last_values(samples: DataFrame, by: Sequence[str], ts: str = "ts", tie: str
 
 def percentiles(
     samples: DataFrame, by: Sequence[str], value: str = "value", at: Sequence[float] = PERCENTILES,
-    split: bool | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles per series, for series of any size.
 
@@ -70,7 +69,7 @@ def percentiles(
     keys = list(by)
     present = samples.filter(F.col(value).isNotNull())
     counted = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    rows = ordered(counted, keys, [value], split)
+    rows = ordered(counted, keys, [value])
     placed = rows.done(rows.running_sum(rows.frame, F.col("_n"), "_before", inclusive=False))
     sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("samples"))
     renamed = sizes.select(*[F.col(k).alias(f"_size_{k}") for k in keys], "samples")
@@ -98,10 +97,10 @@ def approximate_percentiles(
 
 
 def rate(
-    points: DataFrame, by: Sequence[str], ts: str = "window_start", value: str = "value", split: bool | None = None
+    points: DataFrame, by: Sequence[str], ts: str = "window_start", value: str = "value"
 ) -> DataFrame:
     """Change per second against the point before; null where a counter went down."""
-    rows = ordered(points, list(by), [ts], split)
+    rows = ordered(points, list(by), [ts])
     seen = rows.previous(rows.frame, ts, "_ts")
     seen = rows.done(rows.previous(seen, value, "_value"))
     seconds = F.unix_micros(ts).cast("double") - F.unix_micros("_ts").cast("double")
@@ -134,10 +133,9 @@ def latency_alerts(samples: DataFrame, every: str = "1 day") -> DataFrame:
 
 def heartbeat_gaps(
     beats: DataFrame, by: Sequence[str], ts: str = "ts", tie: str = "event_id", seconds: int = HEARTBEAT_SECONDS,
-    split: bool | None = None,
 ) -> DataFrame:
     """Silences longer than the limit between two beats of a source."""
-    rows = ordered(beats, list(by), [ts, tie], split)
+    rows = ordered(beats, list(by), [ts, tie])
     seen = rows.done(rows.previous(rows.frame, ts, "gap_start"))
     length = (F.unix_micros(ts) - F.unix_micros("gap_start")).cast("double") / 1000000.0
     return (

@@ -1,12 +1,9 @@
 """Ordered scans per key that never put an unbounded group into one task.
 
-Lag, running sums and numbering need the rows of a key in order. A plain window gives one task all
-rows of a key, which fails when one key holds a large part of the table. So large keys are looked for
-first. Without any, a plain window is used. Otherwise the rows of the large keys are range partitioned
-on (key, order), which splits each over many slices, while the rows of the other keys form one slice of
-their own number per key. Every (slice, key) is scanned on its own, and what a slice must know of the
-slices before it (the last value, the sum so far) comes from a summary with at most two rows per slice,
-which is small enough to broadcast.
+Lag, running sums and numbering need the rows of a key in order, and one key may hold a large part of the
+table. So rows are range partitioned on (key, order), which splits a key over as many slices as its rows
+need. Every (slice, key) is scanned on its own, and what a slice must know of the slices before it (the last
+value, the sum so far) comes from a summary with at most two rows per slice. There is one way for every size.
 """
 
 from __future__ import annotations
@@ -14,39 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 
-HOT_ROWS_CONF = "quaymark.hot_group_rows"
-HOT_ROWS = 1_000_000
-SAMPLED = 2_000
 SLICE, POS, CROSSES = "_slice", "_pos", "_crosses"
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def hot_limit(spark: SparkSession) -> int:
-    return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame | None:
-    """The keys with more rows than one task should hold, or None.
-
-    Only the key columns are read, and of a large limit only a sample is counted: enough rows that a
-    group of the limit shows SAMPLED of them. The answer only picks the faster of two exact ways. Keys
-    that are found are written, so that every later step sees the same ones.
-    """
-    limit = hot_limit(df.sparkSession) if limit is None else limit
-    share = SAMPLED / limit if limit > SAMPLED else 1.0
-    seen = df.select(*keys)
-    if share < 1.0:
-        seen, limit = seen.sample(share, seed=1), int(SAMPLED * 0.8)
-    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.filter(F.col("_n") > limit).select(*keys)
-    return None if large.isEmpty() else stage(large, "hot-keys")
-
-
 def _as_columns(columns: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in columns]
 
@@ -78,19 +51,14 @@ class OrderedRows:
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str | Column, ...]
-    split: bool
 
     @property
     def window(self):
-        if self.split:
-            # the mark depends on the slice and key; as a window key, a filter on it moves below the window
-            return Window.partitionBy(SLICE, CROSSES, *self.keys).orderBy(*self.order)
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        # the mark depends on the slice and key; as a window key, a filter on it moves below the window
+        return Window.partitionBy(SLICE, CROSSES, *self.keys).orderBy(*self.order)
 
     def previous(self, frame: DataFrame, column: str, name: str) -> DataFrame:
         """Value of a column in the row before, null in the first row of a key."""
-        if not self.split:
-            return frame.withColumn(name, F.lag(column).over(self.window))
         tails = self._crossing(frame).groupBy(SLICE, *self.keys).agg(F.max_by(column, POS).alias("_tail"))
         carry = tails.withColumn("_carry", F.lag("_tail").over(self._across)).drop("_tail")
         marked = frame.withColumns(
@@ -103,8 +71,6 @@ class OrderedRows:
         """Sum of the rows so far, with or without the row itself; zero before the first."""
         last = Window.currentRow if inclusive else -1
         here = F.coalesce(F.sum(value).over(self.window.rowsBetween(Window.unboundedPreceding, last)), F.lit(0))
-        if not self.split:
-            return frame.withColumn(name, here)
         totals = self._crossing(frame).groupBy(SLICE, *self.keys).agg(F.sum(value).alias("_total"))
         before = self._across.rowsBetween(Window.unboundedPreceding, -1)
         carry = totals.withColumn("_carry", F.sum("_total").over(before)).drop("_total")
@@ -132,7 +98,7 @@ class OrderedRows:
         same = [F.col(SLICE) == F.col("_carry_slice")]
         same += [F.col(k).eqNullSafe(F.col(f"_carry_{k}")) for k in self.keys]
         helper = ["_carry_slice", *[f"_carry_{k}" for k in self.keys]]
-        return frame.join(F.broadcast(renamed), same, "left").drop(*helper)
+        return frame.join(renamed, same, "left").drop(*helper)
 
 
 def _mark_crossing(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -142,42 +108,18 @@ def _mark_crossing(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     starts = placed.filter(F.col(POS) == 0).select(*[F.col(k).alias(f"_start_{k}") for k in keys]).distinct()
     marks = starts.withColumn(CROSSES, F.lit(True))
     same = [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys]
-    marked = placed.join(F.broadcast(marks), same, "left").drop(*[f"_start_{k}" for k in keys])
+    marked = placed.join(marks, same, "left").drop(*[f"_start_{k}" for k in keys])
     return marked.withColumn(CROSSES, F.coalesce(CROSSES, F.lit(False)))
 
 
-def ordered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split: bool | DataFrame | None = None
-) -> OrderedRows:
-    """Arrange rows by key and order.
-
-    `split` is the frame of large keys, found here when not given; False splits nothing, True every key.
-    """
-    if split is None:
-        split = hot_groups(df, keys)
-    if split is None or split is False:
-        return OrderedRows(df, tuple(keys), tuple(order), False)
-    if split is True:
-        placed = _mark_crossing(slice_rows(df, [*keys, *order]), keys)
-        return OrderedRows(placed, tuple(keys), tuple(order), True)
-    large = split.select(*[F.col(k).alias(f"_large_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys]
-    placed = _mark_crossing(slice_rows(df.join(large, same, "left_semi"), [*keys, *order]), keys)
-    rest = df.join(large, same, "left_anti").withColumns(
-        {SLICE: F.lit(-1).cast("bigint"), POS: F.lit(None).cast("bigint"), CROSSES: F.lit(False)}
-    )
-    return OrderedRows(placed.unionByName(rest), tuple(keys), tuple(order), True)
+def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> OrderedRows:
+    """Arrange rows by key and order; together they must identify a row."""
+    return OrderedRows(_mark_crossing(slice_rows(df, [*keys, *order]), keys), tuple(keys), tuple(order))
 
 
-def item_sequence(
-    df: DataFrame,
-    parent: str | Sequence[str],
-    order: Sequence[str | Column],
-    name: str,
-    split: bool | DataFrame | None = None,
-) -> DataFrame:
+def item_sequence(df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
     """Number the rows of a parent from 1 in a total order."""
-    rows = ordered(df, [parent] if isinstance(parent, str) else list(parent), order, split)
+    rows = ordered(df, [parent] if isinstance(parent, str) else list(parent), order)
     return rows.done(rows.number(rows.frame, name))
 
 

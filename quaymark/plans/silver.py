@@ -30,15 +30,6 @@ FEMALE_NAMES = (
 ZONE_RANGES = {1: (300, 2000), 2: (1000, 3500), 3: (5000, 120000)}
 SALE_SHARE = 70
 
-# Wording of product descriptions, with the product name in lower case or as a title.
-DESCRIPTIONS = (
-    ("Premium ", "lower", " with excellent features and modern design"),
-    ("Designed for professional use. ", "title", " delivers outstanding performance"),
-    ("Built for durability and long-lasting performance. ", "title", " exceeds industry standards"),
-    ("High-quality ", "lower", " at an affordable price point"),
-    ("Ideal choice for everyday needs. ", "title", " combines quality and value"),
-)
-
 
 def _parsed(*names: str) -> dict[str, Column]:
     return {n: times.parse_time(F.col(n)) for n in names}
@@ -146,12 +137,6 @@ def employees(raw: DataFrame, domain: str) -> DataFrame:
     return cleaning.require(typed, ["employee_id", "first_name", "gender", "phone", "role", "subsidiary_id"])
 
 
-def _description(name: Column, *key: Column) -> Column:
-    forms = {"lower": F.lower(name), "title": F.initcap(name)}
-    texts = [F.concat(F.lit(head), forms[form], F.lit(tail)) for head, form, tail in DESCRIPTIONS]
-    return F.try_element_at(F.array(*texts), hashing.bucket(len(texts), *key).cast("int") + 1)
-
-
 def products(raw: DataFrame, stock: DataFrame, photo_base: str) -> DataFrame:
     """`stock` is the silver sub_products table; photos are linked below `photo_base`."""
     quantity = stock.groupBy("product_id").agg(F.sum("quantity").alias("_stock"))
@@ -172,7 +157,7 @@ def products(raw: DataFrame, stock: DataFrame, photo_base: str) -> DataFrame:
         "brand_id",
         F.col("prcs_id").alias("category_id"),
         "product_name",
-        _description(F.col("product_name"), key).alias("product_description"),
+        text.squeeze(F.col("product_description")).alias("product_description"),
         rules.stock_status(F.col("_stock")).alias("product_status"),
         F.col("product_listprice").cast(money.MONEY).alias("product_listprice"),
         "product_weight_g",
@@ -182,7 +167,7 @@ def products(raw: DataFrame, stock: DataFrame, photo_base: str) -> DataFrame:
         "product_volume_cm3",
         money.density(weight, F.col("product_volume_cm3")).alias("product_density_g_cm3"),
         text.photo_link(photo_base, key, F.col("product_version")).alias("product_photos_link"),
-        hashing.offset(3, 10, key).cast("int").alias("product_photos_qty"),
+        F.col("product_photos_qty").cast("int").alias("product_photos_qty"),
         "created_at",
         "updated_at",
         *LINEAGE,
@@ -210,7 +195,7 @@ def sub_products(raw: DataFrame) -> DataFrame:
         rename={"SUB_ID": "subsidiary_id", "PRODUCT_ID": "product_id", "QUANTITY": "quantity"},
         keep=["subsidiary_id", "product_id", "quantity", *LINEAGE, "created_at", "updated_at"],
     )
-    return cleaning.inventory_rules(renamed)
+    return cleaning.unbroken(renamed, cleaning.inventory_rules())
 
 
 def program_sales(raw: DataFrame) -> DataFrame:
@@ -225,7 +210,7 @@ def program_sales(raw: DataFrame) -> DataFrame:
         F.col("sale_updateat").alias("updated_at"),
         *LINEAGE,
     )
-    return cleaning.campaign_rules(typed)
+    return cleaning.unbroken(typed, cleaning.campaign_rules())
 
 
 def product_sales(order_items: DataFrame) -> DataFrame:
@@ -259,11 +244,11 @@ def carts_base(raw: DataFrame) -> DataFrame:
     return started.select("cart_id", "acc_id", "created_at", moved.alias("updated_at"), *LINEAGE)
 
 
-def cart_items(raw: DataFrame, products: DataFrame, carts: DataFrame, split: bool | None = None) -> DataFrame:
+def cart_items(raw: DataFrame, products: DataFrame, carts: DataFrame) -> DataFrame:
     """`carts` is carts_base; items of unknown products or carts are left out."""
     named = raw.withColumn("cart_id", text.padded_id(F.col("cart_id"), "CA", 6))
     order = ["product_id", "created_at", "updated_at", *LINEAGE]
-    numbered = item_sequence(named, "cart_id", order, "item_sequence", split)
+    numbered = item_sequence(named, "cart_id", order, "item_sequence")
     prices = products.select("product_id", F.col("product_listprice").cast(money.MONEY).alias("list_price"))
     starts = carts.select(F.col("cart_id").alias("_cart"), F.col("created_at").alias("_start"))
     priced = numbered.drop("created_at", "updated_at").join(prices, "product_id")
@@ -331,11 +316,10 @@ def order_items(
     subsidiaries: DataFrame,
     orders: DataFrame,
     campaigns: DataFrame,
-    split: bool | None = None,
 ) -> DataFrame:
     """`orders` is orders_base, `campaigns` the silver program_sales table."""
     lines = raw.select("order_id", "product_id", F.col("product_quantity").alias("quantity"), *LINEAGE)
-    numbered = item_sequence(lines, "order_id", ["product_id", "quantity", *LINEAGE], "order_item_id", split)
+    numbered = item_sequence(lines, "order_id", ["product_id", "quantity", *LINEAGE], "order_item_id")
 
     branches = subsidiaries.select(
         F.col("sub_id").alias("subsidiary_id"),

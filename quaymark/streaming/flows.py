@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,6 +50,23 @@ def drop_repeats(events: DataFrame, key: Sequence[str], ts: str = "ts", lateness
     return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(key))
 
 
+def closing_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """A stream that is empty until `close` writes the row that ends a run."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    return file_stream(spark, folder, schema)
+
+
+def close(spark: SparkSession, folder: str, schema: T.StructType, time: str, last: Column) -> None:
+    """Write a row of no key, a day after the last time, so that the watermark passes every open window.
+
+    The row's own window stays open and is never written.
+    """
+    row = spark.range(1).select(
+        *[(last + F.expr("INTERVAL 1 DAY") if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+    row.write.mode("append").parquet(folder)
+
+
 def run_available(stream: DataFrame, out: str, checkpoint: str, fmt: str = "parquet") -> None:
     """Process everything that is there now, append it to files, and stop."""
     query = (

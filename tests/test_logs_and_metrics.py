@@ -22,21 +22,23 @@ def lines(spark, files=("/logs/shop_gold/t/2024-01-01/1.log", "/logs/odd.log")):
     return spark.createDataFrame(rows, "path string, line_no long, line string")
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_records(spark, split):
-    out = logs.assemble_records(lines(spark), split=split).orderBy("path", "record_no").collect()
+def test_records(spark):
+    placed = logs.assemble_records(lines(spark)).orderBy("path", "line_no").collect()
+    assert [(r.record_no, r.line_in_record) for r in placed] == [(0, 1), (1, 1), (1, 2), (1, 3), (2, 1)] * 2
+    out = logs.record_texts(logs.assemble_records(lines(spark))).orderBy("path", "record_no").collect()
     assert [r.message for r in out[:3]] == [LINES[0], "\n".join(LINES[1:4]), LINES[4]]
     assert [r.lines for r in out] == [1, 3, 1] * 2
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_long_records_come_in_parts(spark, split):
-    out = logs.assemble_records(lines(spark), max_lines=2, split=split).filter("record_no = 1").orderBy("path", "part_no")
-    assert [(r.part_no, r.lines) for r in out.collect()] == [(0, 2), (1, 1)] * 2
+def test_a_record_has_no_greatest_length(spark):
+    rows = [("/f.log", i, "[start" if i == 5 else "more") for i in range(20_000)]
+    placed = logs.assemble_records(spark.createDataFrame(rows, "path string, line_no long, line string"))
+    last = placed.orderBy(F.desc("line_no")).first()
+    assert (last.record_no, last.line_in_record) == (1, 20_000 - 5)
 
 
 def test_fields_and_classes(spark):
-    records = logs.assemble_records(lines(spark))
+    records = logs.record_texts(logs.assemble_records(lines(spark)))
     out = {(r.path, r.record_no): r for r in logs.classify(logs.structure(records)).collect()}
     hit = out[("/logs/shop_gold/t/2024-01-01/1.log", 1)]
     assert hit.logged_at == datetime(2024, 1, 1, 0, 0, 0, 123000)
@@ -55,22 +57,20 @@ def samples(spark, n=500):
     return rows, spark.createDataFrame(rows, "event_id long, ts timestamp, measurement string, field string, value double")
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_percentiles_are_exact(spark, split):
+def test_percentiles_are_exact(spark):
     rows, df = samples(spark)
-    for found in metrics.percentiles(df, ["measurement"], split=split).collect():
+    for found in metrics.percentiles(df, ["measurement"]).collect():
         values = [r[4] for r in rows if r[2] == found.measurement]
         want = np.quantile(values, metrics.PERCENTILES)
         assert found.samples == len(values)
         assert np.allclose([found.p50, found.p90, found.p95, found.p99, found.p99_9], want)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_rate_is_null_when_a_counter_falls(spark, split):
+def test_rate_is_null_when_a_counter_falls(spark):
     start = datetime(2024, 1, 1)
     rows = [("m", start + timedelta(seconds=s), v) for s, v in ((0, 1.0), (10, 21.0), (20, 5.0))]
     df = spark.createDataFrame(rows, "measurement string, window_start timestamp, value double")
-    out = metrics.rate(df, ["measurement"], split=split).orderBy("window_start").collect()
+    out = metrics.rate(df, ["measurement"]).orderBy("window_start").collect()
     assert [r.per_second for r in out] == [2.0, None]
 
 

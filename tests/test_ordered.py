@@ -1,4 +1,4 @@
-"""Ordered scans and numbering against brute force, with and without split groups."""
+"""Ordered scans and numbering against brute force, with groups split over slices."""
 
 from __future__ import annotations
 
@@ -25,14 +25,8 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "id long, k string, t long, v long").repartition(5)
 
 
-SPLITS = [False, True, "hot"]
-
-
-def arranged(spark, df, keys, split):
-    """'hot' splits one key only and leaves the others whole."""
-    if split == "hot":
-        split = df.filter("k = 'hot'").select(*keys).distinct()
-    return ordered.ordered(df, keys, ["t", "id"], split)
+def arranged(df, keys):
+    return ordered.ordered(df, keys, ["t", "id"])
 
 
 def by_key(rows):
@@ -42,10 +36,9 @@ def by_key(rows):
     return groups
 
 
-@pytest.mark.parametrize("split", SPLITS)
-def test_previous_value(spark, split):
+def test_previous_value(spark):
     rows = skewed()
-    plan = arranged(spark, frame(spark, rows), ["k"], split)
+    plan = arranged(frame(spark, rows), ["k"])
     out = plan.done(plan.previous(plan.frame, "v", "p"))
     want = {}
     for group in by_key(rows).values():
@@ -55,11 +48,10 @@ def test_previous_value(spark, split):
     assert out.columns == ["id", "k", "t", "v", "p"]
 
 
-@pytest.mark.parametrize("split", SPLITS)
 @pytest.mark.parametrize("inclusive", [False, True])
-def test_running_sum(spark, split, inclusive):
+def test_running_sum(spark, inclusive):
     rows = skewed(seed=5)
-    plan = arranged(spark, frame(spark, rows), ["k"], split)
+    plan = arranged(frame(spark, rows), ["k"])
     out = plan.done(plan.running_sum(plan.frame, F.col("v"), "s", inclusive))
     want = {}
     for group in by_key(rows).values():
@@ -70,12 +62,11 @@ def test_running_sum(spark, split, inclusive):
     assert {r.id: r.s for r in out.collect()} == want
 
 
-@pytest.mark.parametrize("split", SPLITS)
-def test_two_steps_over_two_keys(spark, split):
+def test_two_steps_over_two_keys(spark):
     """A running sum over a value that itself comes from the row before."""
     rows = skewed(seed=7)
     two = frame(spark, rows).withColumn("m", F.col("id") % 2)
-    plan = arranged(spark, two, ["k", "m"], split)
+    plan = arranged(two, ["k", "m"])
     seen = plan.previous(plan.frame, "t", "p")
     jump = F.when(F.col("p").isNull() | (F.col("t") - F.col("p") > 3), 1).otherwise(0)
     out = plan.done(plan.running_sum(seen.withColumn("j", jump), F.col("j"), "n"))
@@ -94,27 +85,13 @@ def test_two_steps_over_two_keys(spark, split):
 def test_split_spreads_a_hot_key(spark):
     rows = [(i, "hot", i, 1) for i in range(800)]
     df = frame(spark, [*rows, (900, "cold", 1, 1)])
-    plan = ordered.ordered(df, ["k"], ["t"], df.filter("k = 'hot'").select("k").distinct())
+    plan = ordered.ordered(df, ["k"], ["t"])
     sizes = [r["count"] for r in plan.frame.groupBy(ordered.SLICE).count().collect()]
     assert len(sizes) > 5 and max(sizes) < 400
 
 
-def test_hot_group_is_found_by_size(spark):
-    df = frame(spark, skewed())
-    assert [r.k for r in ordered.hot_groups(df, ["k"], 200).collect()] == ["hot"]
-    assert ordered.hot_groups(df, ["k"], 100000) is None
-    assert ordered.hot_groups(df, ["id"], 1) is None
-    spark.conf.set(ordered.HOT_ROWS_CONF, "50")
-    try:
-        assert ordered.ordered(df, ["k"], ["t", "id"]).split
-    finally:
-        spark.conf.unset(ordered.HOT_ROWS_CONF)
-    assert not ordered.ordered(df, ["k"], ["t", "id"]).split
-
-
-@pytest.mark.parametrize("split", [False, True])
-def test_empty_input(spark, split):
-    plan = ordered.ordered(frame(spark, []), ["k"], ["t", "id"], split)
+def test_empty_input(spark):
+    plan = ordered.ordered(frame(spark, []), ["k"], ["t", "id"])
     assert plan.done(plan.number(plan.previous(plan.frame, "v", "p"), "n")).count() == 0
 
 

@@ -61,6 +61,19 @@ def test_windows_equal_the_batch(spark, rows):
     assert {(r.window_start, r.event_type): (r.events, float(r.total)) for r in have} == want
 
 
+def test_closing_a_run_writes_every_event(spark, rows):
+    folder, end = write_files(spark, rows, 6), new_folder(spark, "closing")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    source = flows.file_stream(spark, folder, schema).unionByName(flows.closing_stream(spark, end, schema))
+    out, offsets = new_folder(spark, "out"), new_folder(spark, "offsets")
+    stream = flows.session_totals(source, "user_id", "ts")
+    flows.run_available(stream, out, offsets)
+    flows.close(spark, end, schema, "ts", F.lit(max(r[1] for r in rows)))
+    flows.run_available(stream, out, offsets)
+    found = spark.read.parquet(out).collect()
+    assert sum(r.events for r in found) == len(rows) and all(r.user_id is not None for r in found)
+
+
 def test_late_rows_are_dropped(spark):
     fresh = [(i, START + timedelta(minutes=i), 1, "view", 1.0) for i in range(120)]
     next_one = [(998, START + timedelta(minutes=150), 1, "view", 1.0)]  # a batch that moves the watermark on

@@ -180,7 +180,7 @@ TEXTS: dict[str, str] = {
                {_raw_time("CAST('2020-05-01' AS DATE)")} AS created_at,
                {_raw_time("CAST('2020-06-01' AS DATE) + CAST(p_size AS INT)")} AS updated_at,
                'x' AS _c4, {_lineage("categories")}
-        FROM {{part}} WHERE p_size > 3
+        FROM {{part}}
         UNION ALL
         SELECT NULL, 'no id', '5/1/2020 0:00', '5/2/2020 0:00', 'x', {_lineage("categories")}
         FROM {{part}} WHERE p_partkey % 100 = 7""",
@@ -200,6 +200,7 @@ TEXTS: dict[str, str] = {
         SELECT concat('PR', CAST(p_partkey AS STRING)) AS product_id,
                concat('product', CAST(p_partkey AS STRING)) AS product_name, p_type AS prcs_id, p_brand AS brand_id,
                concat('vs', CAST(2018 + p_size % 9 AS STRING)) AS product_specs,
+               concat(' ', p_name, '  of  ', p_type, ' ') AS product_description, p_size % 8 + 3 AS product_photos_qty,
                p_retailprice AS product_listprice, p_size * 100 AS product_weight_g,
                p_size + 10 AS product_length_cm, p_size % 20 + 5 AS product_height_cm,
                p_size % 30 AS product_width_cm,
@@ -223,7 +224,7 @@ TEXTS: dict[str, str] = {
                CAST(min(l_shipdate) AS TIMESTAMP) AS created_at,
                CASE WHEN l_partkey % 29 <> 0 THEN CAST(max(l_shipdate) AS TIMESTAMP) END AS updated_at,
                {_lineage("sub_products")}
-        FROM {{lineitem}} WHERE l_partkey % 7 <> 0 GROUP BY l_suppkey, l_partkey""",
+        FROM {{lineitem}} GROUP BY l_suppkey, l_partkey""",
     "r_program_sales": f"""
         SELECT DISTINCT concat('SALE', CAST(CAST(ROUND(l_discount * 100) AS INT) AS STRING)) AS sale_id,
                concat('salename', CAST(CAST(ROUND(l_discount * 100) AS INT) AS STRING)) AS sale_name,
@@ -258,7 +259,7 @@ TEXTS: dict[str, str] = {
     "r_payments": f"""
         SELECT concat(' PA', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS payment_id,
                {_raw_time(_ORDER_DAY + " + 4", "13", "5")} AS updated_at, {_lineage("payments")}
-        FROM {{orders}} WHERE o_orderkey % 3 <> 0""",
+        FROM {{orders}}""",
     "r_cart_events": """
         SELECT event_id, acc_id, product_id, event_time,
                concat('cart', CAST(acc_id * 1000 + datediff(CAST(event_time AS DATE), CAST('2024-01-01' AS DATE))

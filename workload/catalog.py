@@ -134,13 +134,13 @@ def filter_campaign_rules(t: Tables) -> DataFrame:
         F.col("sale_createdat").alias("created_at"),
         F.col("sale_updateat").alias("updated_at"),
     )
-    return cleaning.campaign_rules(renamed)
+    return cleaning.unbroken(renamed, cleaning.campaign_rules())
 
 
 @query
 def filter_inventory_rules(t: Tables) -> DataFrame:
     renamed = t["r_sub_products"].withColumnsRenamed({"QUANTITY": "quantity", "PRODUCT_ID": "product_id", "SUB_ID": "sub_id"})
-    return cleaning.inventory_rules(renamed.select("sub_id", "product_id", "quantity", "created_at", "updated_at"))
+    return cleaning.unbroken(renamed.select("sub_id", "product_id", "quantity", "created_at", "updated_at"), cleaning.inventory_rules())
 
 
 @query
@@ -276,7 +276,7 @@ def derive_seeded_offset(t: Tables) -> DataFrame:
 
 @query
 def join_inner(t: Tables) -> DataFrame:
-    carts = t["b_behaviors"].filter(F.col("event_type") == "add_to_cart").select("event_id", "product_id")
+    carts = t["b_behaviors"].select("event_id", "product_id")
     return carts.join(t["b_products"].select("product_id", "product_name", "product_listprice"), "product_id", "inner")
 
 
@@ -382,8 +382,7 @@ def dq_null_profile(t: Tables) -> DataFrame:
 
 @query
 def dq_duplicate_count(t: Tables) -> DataFrame:
-    doubled = t["b_items"].select("product_id", "subsidiary_id", "quantity", "sale_id")
-    return quality.profile(doubled).select(
+    return quality.profile(t["b_items"].drop("order_item_id")).select(
         "row_count", "duplicate_count", F.col("null_details")["sale_id"].alias("null_sale_ids")
     )
 
@@ -502,7 +501,7 @@ def fn_strip_diacritics(t: Tables) -> DataFrame:
     return t["documents"].select(
         "doc_id",
         F.md5(text.strip_diacritics(F.col("text"))).alias("plain_md5"),
-        F.substring(text.strip_diacritics(text.first_word(F.col("text"))), 1, 20).alias("first_word"),
+        text.strip_diacritics(text.first_word(F.col("text"))).alias("first_word"),
     )
 
 
@@ -604,10 +603,14 @@ def log_assemble_records(t: Tables) -> DataFrame:
     return logs.assemble_records(t["log_lines"])
 
 
+@query
+def log_record_texts(t: Tables) -> DataFrame:
+    return logs.record_texts(logs.assemble_records(t["log_lines"]))
+
+
 @query
 def log_structure_lines(t: Tables) -> DataFrame:
-    lines = t["log_lines"].filter(F.col("line").startswith("["))
-    found = logs.structure(lines, message="line")
+    found = logs.structure(t["log_lines"], message="line")
     return found.withColumn("tags", F.array_join("tags", ","))
 
 
@@ -695,23 +698,30 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
-def _run_stream(t: Tables, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _run_stream(t: Tables, build: Callable[[DataFrame], DataFrame], whole: bool = False) -> DataFrame:
+    """The rows a stream over the events appends; `whole` also closes what is open when all events are read."""
     # a pattern, because the table may be one file, and a stream's plain path must be a folder
     source = flows.file_stream(t.spark, f"{t.folder}/events.parque[t]", EVENT_SCHEMA)
+    out, offsets, end = (new_folder(t.spark, n) for n in ("stream", "offsets", "closing"))
+    if whole:
+        source = source.unionByName(flows.closing_stream(t.spark, end, EVENT_SCHEMA))
     stream = build(source)
-    out = new_folder(t.spark, "stream")
-    flows.run_available(stream, out, new_folder(t.spark, "offsets"))
+    flows.run_available(stream, out, offsets)
+    if whole:
+        last = t["events"].agg(F.max("ts").cast("timestamp")).first()[0]
+        flows.close(t.spark, end, EVENT_SCHEMA, "ts", F.lit(last))
+        flows.run_available(stream, out, offsets)
     return readers.read_path(t.spark, out, schema=stream.schema)
 
 
 @query
 def stream_sessions(t: Tables) -> DataFrame:
-    return _run_stream(t, lambda s: flows.session_totals(s, "user_id", "ts"))
+    return _run_stream(t, lambda s: flows.session_totals(s, "user_id", "ts"), whole=True)
 
 
 @query
 def stream_tumbling_agg(t: Tables) -> DataFrame:
-    return _run_stream(t, lambda s: flows.window_totals(s, "5 minutes", ["event_type"]))
+    return _run_stream(t, lambda s: flows.window_totals(s, "5 minutes", ["event_type"]), whole=True)
 
 
 @query

@@ -26,7 +26,7 @@ def pct(a: str, b: str, places: int = 2) -> str:
 
 
 def h(*parts: str) -> str:
-    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT)"
 
 
 def off(low: int, high: int | str, *parts: str) -> str:
@@ -154,8 +154,8 @@ O: dict[str, str] = {
                prcs_id AS category_id, 'Product ' || ({pad(digits('product_name', 'product'), 2)}) AS product_name,
                CASE WHEN stock > 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS product_status,
                CAST(product_listprice AS DECIMAL(18,2)) AS product_listprice, product_weight_g, product_length_cm,
-               product_height_cm, product_width_cm,
-               CAST(product_length_cm * product_height_cm * product_width_cm AS DECIMAL(18,2)) AS product_volume_cm3,
+               product_height_cm, product_width_cm, regexp_replace(trim(product_description), '\\s+', ' ', 'g') AS product_description,
+               CAST(product_photos_qty AS INT) AS product_photos_qty, CAST(product_length_cm * product_height_cm * product_width_cm AS DECIMAL(18,2)) AS product_volume_cm3,
                {parse('created_at')} AS created_at, {parse('updated_at')} AS updated_at, {LINEAGE}
         FROM {{r_products}} p LEFT JOIN (SELECT product_id, sum(quantity) AS stock FROM {{o_sub_products}} GROUP BY 1) s
         USING (product_id)""",
@@ -290,6 +290,9 @@ O: dict[str, str] = {
     "o_scores": f"""
         SELECT product_id, count(*) AS review_count, CAST({ratio('sum(review_score)', 'count(*)')} AS FLOAT) AS avg_rating
         FROM {{b_reviews}} GROUP BY 1""",
+    "o_records": """
+        SELECT *, sum(CASE WHEN line LIKE '[%' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line_no
+               ROWS UNBOUNDED PRECEDING) AS record_no FROM {log_lines}""",
     # log fields
     "o_log": r"""
         SELECT path, line_no, line,
@@ -320,7 +323,7 @@ def complete(text: str) -> str:
     """The query with every binding it needs in front."""
     seen: list[str] = []
     _needed(text, seen)
-    parts = ",\n".join(f"{n} AS ({_fill(ALL[n])})" for n in seen)
+    parts = ",\n".join(f"{n} AS MATERIALIZED ({_fill(ALL[n])})" for n in seen)
     return f"WITH {parts}\n{_fill(text)}" if parts else _fill(text)
 
 
@@ -484,7 +487,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT order_id, created_at, {off(7, 90, "'days'", 'order_id')} AS days FROM {{b_orders}}) t""",
     # joins
     "join_inner": f"""SELECT event_id, b.product_id, product_name, {dbl('product_listprice')} AS product_listprice
-        FROM {{b_behaviors}} b JOIN {{b_products}} p ON b.product_id = p.product_id WHERE event_type = 'add_to_cart'""",
+        FROM {{b_behaviors}} b JOIN {{b_products}} p ON b.product_id = p.product_id""",
     "join_left": f"""SELECT o.order_id, {dbl('total_amount')} AS total_amount, {dbl('item_total')} AS item_total FROM {{b_orders}} o
         LEFT JOIN (SELECT order_id, sum(total_price) AS item_total FROM {{b_order_items}} GROUP BY 1) i
         ON o.order_id = i.order_id""",
@@ -521,7 +524,7 @@ ORACLES: dict[str, str] = {
     ),
     "dq_duplicate_count": """SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count,
         CAST(sum(CASE WHEN sale_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_sale_ids
-        FROM (SELECT product_id, subsidiary_id, quantity, sale_id, count(*) AS n FROM {b_order_items} GROUP BY ALL) t""",
+        FROM (SELECT * EXCLUDE (order_item_id), count(*) AS n FROM {b_order_items} GROUP BY ALL) t""",
     # windows and numbering
     "win_item_sequence": f"""SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)})
         AS item_sequence, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate FROM {{lineitem}}""",
@@ -569,7 +572,7 @@ ORACLES: dict[str, str] = {
         '0' || CAST(user_phone AS STRING) AS plain, '0' || lpad(CAST(user_phone % 1000 AS STRING), 9, '0') AS padded
         FROM {{r_users}}""",
     "fn_strip_diacritics": f"""SELECT doc_id, md5({plain_letters('text')}) AS plain_md5,
-        substr({plain_letters("string_split(text, ' ')[1]")}, 1, 20) AS first_word FROM {{documents}}""",
+        {plain_letters("string_split(text, ' ')[1]")} AS first_word FROM {{documents}}""",
     "fn_name_parts": f"""SELECT user_id,
         {plain_letters(FIRST)} || '.' || {plain_letters(f"replace({LAST}, ' ', '')")} || '007@gmail.com' AS email,
         {plain_letters(FIRST)} || {plain_letters(f"string_split({LAST}, ' ')[1]")} || '0042@shop.example' AS company_email,
@@ -596,10 +599,10 @@ ORACLES: dict[str, str] = {
     "fn_weighted_bucket": f"""SELECT event_id, {h('event_id')} % 10000 AS slot, {weighted(quoted(EVENT_WEIGHTS), 'event_id')} AS event_type,
         {dbl(weighted(SCORES, "'score'", 'event_id'))} AS score, {METHOD_LIST}[{h('event_id')} % 6 + 1] AS method FROM {{b_behaviors}}""",
     # logs
-    "log_assemble_records": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, CAST(0 AS BIGINT) AS part_no, min(line_no) AS first_line, count(*) AS lines,
-        string_agg(line, chr(10) ORDER BY line_no) AS message
-        FROM (SELECT *, sum(CASE WHEN line LIKE '[%' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line_no
-              ROWS UNBOUNDED PRECEDING) AS record_no FROM {log_lines}) t GROUP BY 1, 2""",
+    "log_assemble_records": r"""SELECT path, line_no, line, CAST(record_no AS BIGINT) AS record_no,
+        row_number() OVER (PARTITION BY path, record_no ORDER BY line_no) AS line_in_record FROM {o_records}""",
+    "log_record_texts": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, min(line_no) AS first_line, count(*) AS lines,
+        string_agg(line, chr(10) ORDER BY line_no) AS message FROM {o_records} GROUP BY 1, 2""",
     "log_structure_lines": f"""SELECT path, line_no, line,
         try_strptime(CASE WHEN ok THEN replace(replace(f['stamp'], 'T', ' '), ',', '.') END, '%Y-%m-%d %H:%M:%S.%g') AS logged_at,
         CASE WHEN ok THEN f['source_file'] END AS source_file, CASE WHEN ok THEN lower(f['log_level']) END AS log_level,
@@ -607,7 +610,7 @@ ORACLES: dict[str, str] = {
         {', '.join(f"CASE WHEN placed THEN p['{c}'] END AS {c}" for c in _PLACES)},
         CASE WHEN placed THEN TRY_CAST(p['try_number'] AS INT) END AS try_number,
         concat_ws(',', CASE WHEN NOT ok THEN 'record_parse_failure' END, CASE WHEN NOT placed THEN 'path_parse_failure' END) AS tags
-        FROM {{o_log}} WHERE line LIKE '[%'""",
+        FROM {{o_log}}""",
     "log_classify": f"""SELECT path, line_no, regexp_replace(line, '^\\[DBG\\]', 'DBG') AS line, level AS log_level,
         CASE WHEN dag LIKE '%bronze%' THEN 'bronze' WHEN dag LIKE '%silver%' THEN 'silver' WHEN dag LIKE '%gold%' THEN 'gold'
              WHEN dag LIKE '%master%' THEN 'orchestration' END AS layer,
@@ -649,18 +652,15 @@ ORACLES: dict[str, str] = {
         CAST(epoch_us(ts) - epoch_us(prev) AS DOUBLE) / 1000000.0 AS gap_seconds
         FROM (SELECT *, lag(ts) OVER (PARTITION BY measurement ORDER BY ts, event_id) AS prev FROM {b_metrics}) t
         WHERE epoch_us(ts) - epoch_us(prev) > 60000000""",
-    # streams: what is closed by the last watermark, ten minutes before the newest event
+    # streams: every event is in a window or session
     "stream_tumbling_agg": f"""SELECT {_bucketed('5 minutes')} AS window_start, {_bucketed('5 minutes')} + INTERVAL 5 MINUTE AS window_end,
-        event_type, count(*) AS events, {dbl('sum(CAST(value AS DECIMAL(18,2)))')} AS total FROM {{events}} GROUP BY 1, 2, 3
-        HAVING window_end <= (SELECT max(ts) FROM {{events}}) - INTERVAL 10 MINUTE""",
+        event_type, count(*) AS events, {dbl('sum(CAST(value AS DECIMAL(18,2)))')} AS total FROM {{events}} GROUP BY 1, 2, 3""",
     "stream_sessions": """SELECT user_id, count(*) AS events, min(ts) AS first_event, max(ts) AS last_event
         FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s
               FROM (SELECT *, CASE WHEN prev IS NULL OR epoch_us(ts) // 1000000 - epoch_us(prev) // 1000000 > 1800
                                    THEN 1 ELSE 0 END AS opens
                     FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM {events}) a) b) c
-        GROUP BY user_id, s
-        HAVING date_trunc('second', max(ts)) + INTERVAL 30 MINUTE
-               <= (SELECT date_trunc('second', max(ts)) FROM {events}) - INTERVAL 10 MINUTE""",
+        GROUP BY user_id, s""",
     "stream_dedup": "SELECT event_id, ts, user_id FROM {events}",
     # silver
     "silver_brands": f"""SELECT brand_id, brand_name, brand_country, created_at, {days_on('created_at', h('brand_id') + ' % 180')} AS updated_at,
@@ -694,16 +694,9 @@ ORACLES: dict[str, str] = {
         emp_role AS role, sub_id AS subsidiary_id, {LINEAGE} FROM {{r_employees}} WHERE emp_phone IS NOT NULL AND emp_role IS NOT NULL""",
     "silver_sub_products": "SELECT * FROM {o_sub_products}",
     "silver_products": f"""SELECT * REPLACE ({dbl('product_listprice')} AS product_listprice, {dbl('product_volume_cm3')} AS product_volume_cm3),
-        [{", ".join([
-            "'Premium ' || lower(product_name) || ' with excellent features and modern design'",
-            "'Designed for professional use. ' || product_name || ' delivers outstanding performance'",
-            "'Built for durability and long-lasting performance. ' || product_name || ' exceeds industry standards'",
-            "'High-quality ' || lower(product_name) || ' at an affordable price point'",
-            "'Ideal choice for everyday needs. ' || product_name || ' combines quality and value'",
-        ])}][{h('product_id')} % 5 + 1] AS product_description,
         CASE WHEN product_volume_cm3 > 0 THEN {dbl('CAST(product_weight_g / product_volume_cm3 AS DECIMAL(18,4))')} ELSE 0.0 END AS product_density_g_cm3,
-        'https://cdn.shop.example/products/' || product_id || '/' || product_version || '.jpg' AS product_photos_link,
-        CAST({off(3, 10, 'product_id')} AS INT) AS product_photos_qty FROM {{o_products}}""",
+        'https://cdn.shop.example/products/' || product_id || '/' || product_version || '.jpg' AS product_photos_link
+        FROM {{o_products}}""",
     "silver_subsidiaries": f"""SELECT sub_id, 'Subsidiary ' || substr(sub_name, 6) AS sub_name, '0' || CAST(sub_phone AS STRING) AS phone_number,
         establishment_date, sub_street, sub_district, sub_city, CAST(created_at AS DATE) AS created_at, CAST(updated_at AS DATE) AS updated_at,
         {LINEAGE} FROM {{r_subsidiaries}}""",
@@ -741,11 +734,11 @@ ORACLES: dict[str, str] = {
                     FROM (SELECT product_id, sale_id, min(created_at) AS first FROM {{o_order_items}} WHERE sale_id IS NOT NULL GROUP BY 1, 2) a) b) c""",
     "silver_product_scores": f"""SELECT product_id, count(*) AS review_count, CAST({ratio('sum(review_score)', 'count(*)')} AS FLOAT) AS avg_rating
         FROM {{o_reviews}} GROUP BY 1""",
-    "silver_behaviors": f"""SELECT acc_id, 'SS' || ({pad('CAST(dense_rank() OVER (ORDER BY session) AS STRING)', 8)}) AS session_id, event_time,
+    "silver_behaviors": f"""SELECT acc_id, 'SS' || ({pad('CAST(dense_rank() OVER (ORDER BY acc_id, session_no) AS STRING)', 8)}) AS session_id, event_time,
         CASE WHEN event_type = 'purchase' AND checkouts = 0 THEN 'view' WHEN event_type = 'checkout' AND carts = 0 THEN 'add_to_cart'
              WHEN event_type = 'remove_from_cart' AND carts = 0 THEN 'view' ELSE event_type END AS event_type,
         product_id, device_type, time_on_page_minutes, event_time AS created_at, TIMESTAMP '2024-06-30 00:00:00' AS updated_at, {LINEAGE}
-        FROM (SELECT *, acc_id || '_' || CAST(session_no AS STRING) AS session,
+        FROM (SELECT *,
                      count(*) FILTER (event_type = 'add_to_cart') OVER w AS carts, count(*) FILTER (event_type = 'checkout') OVER w AS checkouts
               FROM {{o_sessions}} WINDOW w AS (PARTITION BY acc_id, session_no ORDER BY event_time, event_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) t""",
