@@ -4,11 +4,11 @@ A document is its set of distinct word shingles. Equal sets are one from the sta
 function over the set makes the signature; documents that agree on all values of a band meet in a bucket. A pair
 from a bucket is a link if the signatures allow it and the full sets confirm it.
 
-No bucket emits all its pairs. First every document is checked against one pivot, the document most of its
-buckets name first; then against the other pivots outside its component; then the pairs left in buckets that still
-hold several components are checked, all of them. Before that last step, new pivots are drawn as long as those
-pairs would be more than `PAIRS_PER_SET` times the sets. Links within a component change nothing and are never
-sought. At a similarity of 0.8, a pair misses all 40 bands of 5 with a probability of 1e-7.
+No bucket emits all its pairs. In each of a few rounds every document outside its buckets' components is checked
+against one pivot, the one most of its buckets name. Documents whose buckets still hold several components
+then go the exact way: two sets can only reach the similarity if they share one of their rarest shingles, a
+fifth of the set and one more, so those that do, across components, are checked, all of them. Links within a component
+change nothing and are never sought. At a similarity of 0.8, a pair misses all 40 bands of 5 with a probability of 1e-7.
 
 Cases: texts that are null or without words have an empty set and link with nothing; with fewer words than a
 shingle has, the whole sequence is the one shingle; repeated rows share a set; an empty table gives none; rows
@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaymark.session import stage
@@ -31,8 +31,8 @@ from .common import key_and_text, semi_joined, slices
 from .components import components
 
 BANDS, ROWS = 40, 5
-PAIRS_PER_SET = 16
-MOST_ROUNDS = 40
+#: Rounds of one pivot for each document before the exact way.
+ROUNDS = 3
 #: Shingles hashed by all functions at once.
 CHUNK = 4_096
 
@@ -151,7 +151,7 @@ def _pivots(members: DataFrame, percent: int, number: int) -> DataFrame:
     return paired.groupBy(F.col("_p.rep").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("named"))
 
 
-def _near(a: str, b: str, percent: int):
+def _near(a: str, b: str, percent: int) -> Column:
     """Sets whose sizes alone don't rule a link out."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -164,11 +164,41 @@ def _untried(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
     return pairs.drop("_low", "_high")
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    left = members.select("band", F.col("rep").alias("a"), F.col("component").alias("_ca"), F.col("n_shingles").alias("_na"))
-    right = members.select("band", F.col("rep").alias("b"), F.col("component").alias("_cb"), F.col("n_shingles").alias("_nb"))
+def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """rep, component, n_shingles, shingle: the rarest shingles of each set, as many as it may miss and one more.
+
+    Rarity is the number of these sets that hold a shingle; those that one set alone holds match nothing.
+    """
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            raws = batch["members"].to_pylist()
+            sizes = [len(r) // 8 for r in raws]
+            repeated = pa.array(np.repeat(np.arange(len(raws)), sizes))
+            taken = [batch[c].take(repeated) for c in ("rep", "component", "n_shingles")]
+            yield pa.RecordBatch.from_arrays(
+                [*taken, pa.array(np.frombuffer(b"".join(raws), "<i8"))], ["rep", "component", "n_shingles", "shingle"]
+            )
+
+    placed = members.select("rep", "component", "n_shingles").distinct().join(sets.select("rep", "members"), "rep")
+    each = placed.select("rep", "component", "n_shingles", "members").mapInArrow(
+        work, "rep long, component long, n_shingles long, shingle long"
+    )
+    held = each.groupBy("shingle").agg(F.count("*").alias("_sets"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("_sets", "shingle"))
+    most = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    return each.join(held, "shingle").withColumn("_place", place).where((F.col("_place") <= most) & (F.col("_sets") > 1)).drop("_place", "_sets")
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share one of their rarest shingles."""
+    rare = stage(_rare(members, sets, percent), "rare")
+    mixed = rare.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
+    rare = rare.join(mixed.select("shingle"), "shingle", "left_semi")
+    left = rare.select("shingle", F.col("rep").alias("a"), F.col("component").alias("_ca"), F.col("n_shingles").alias("_na"))
+    right = rare.select("shingle", F.col("rep").alias("b"), F.col("component").alias("_cb"), F.col("n_shingles").alias("_nb"))
     apart = (F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & _near("_na", "_nb", percent)
-    return left.join(right, "band").where(apart).select("a", "b").distinct()
+    return left.join(right, "shingle").where(apart).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,34 +217,26 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_
     met = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = narrow.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
     sets = stage(full_sets(texts, width).dropDuplicates(["rep"]), "members")
-    count = reps.count()
-
-    links = found = None
     tried: list[DataFrame] = []
+    found = None
     members = stage(buckets.withColumn("component", F.col("rep")), "located")
-    for number in range(MOST_ROUNDS):
-        if number == 0:  # one pivot for each, the one that most of its buckets name
-            named = _pivots(members, percent, 0)
+    for number in range(ROUNDS + 1):
+        if number < ROUNDS:
+            named = _untried(_pivots(members, percent, number), tried)
             best = named.groupBy("b").agg(F.max(F.struct("named", (-F.col("a")).alias("_a"))).alias("_best"))
-            pairs, last = best.select((-F.col("_best._a")).alias("a"), "b"), False
+            pairs = best.select((-F.col("_best._a")).alias("a"), "b")
         else:
-            groups = members.groupBy("band", "component").agg(F.count("*").alias("_n")).groupBy("band").agg(
-                F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_within")
-            )
-            ahead = groups.agg(F.sum(F.col("_all") * F.col("_all") - F.col("_within"))).first()[0] or 0
-            last = number > 1 and ahead <= PAIRS_PER_SET * count or number == MOST_ROUNDS - 1
-            pairs = _all_pairs(members, percent) if last else _pivots(members, percent, number - 1).select("a", "b")
-            pairs = _untried(pairs, tried)
+            pairs = _untried(_rest(members, sets, percent), tried)
         pairs = stage(pairs, "pairs")
         tried.append(pairs)
-        fresh = verified(pairs, sets, percent)
-        links = stage(fresh if found is None else fresh.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")
+        links = verified(pairs, sets, percent)
+        if found is not None:
+            links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
         found = components(links)
-        if last:
-            break
-        members = stage(_located(members.drop("component"), found), "located")
-        if members.isEmpty():
-            break
+        if number < ROUNDS:
+            members = stage(_located(members.drop("component"), found), "located")
+            if members.isEmpty():
+                break
     placed = reps.join(found, reps["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("_class"))
     return rows.join(placed, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("_class", "doc_id").alias("component_id")
