@@ -1,7 +1,9 @@
-"""Prices, fees, rates. Sums stay exact decimals; a quotient is taken once, as a double."""
+"""Prices, fees, rates. Sums stay exact decimals; a rounded quotient is an exact decimal, others are doubles."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,16 +23,24 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def rounded_ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:
-    return half_up(ratio(numerator, denominator), places)
+    """ROUND of the exact quotient, ties away from zero, as a decimal; null when the divisor is zero or null.
+
+    Both sides count up to six places. Doubling makes the tie a whole number, so integer division decides it.
+    """
+    top, bottom = (c.cast("decimal(38,6)") for c in (numerator, denominator))
+    twice = F.abs(top) * F.lit(Decimal(2 * 10**places)) + F.abs(bottom)
+    units = F.call_function("div", twice, F.when(bottom != 0, F.abs(bottom) * F.lit(Decimal(2))))
+    signed = F.when((top < 0) != (bottom < 0), -units).otherwise(units)
+    return (signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))).cast(f"decimal(28,{places})")
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
-    return half_up(F.try_divide(part.cast("double") * 100.0, whole.cast("double")), places)
+    return rounded_ratio(part * 100, whole, places)
 
 
 def guarded_ratio(numerator: Column, denominator: Column, places: int = 2) -> Column:
     """Rounded quotient, zero when there is nothing to divide by."""
-    return F.when(denominator > 0, rounded_ratio(numerator, denominator, places)).otherwise(F.lit(0.0))
+    return F.when(denominator > 0, rounded_ratio(numerator, denominator, places)).otherwise(F.lit(Decimal(0)).cast(f"decimal(28,{places})"))
 
 
 def sale_price(list_price: Column, discount: Column) -> Column:

@@ -16,7 +16,7 @@ from ..operators import relations
 from ..operators.keys import ntile
 from ..session import stage
 
-HUNDRED_THOUSAND = 100000.0
+HUNDRED_THOUSAND = 100000
 BIG = "decimal(38,2)"
 
 
@@ -39,9 +39,9 @@ def brand_performance(
         .groupBy("brand_id")
         .agg(F.sum("_n").alias("total_orders"), F.sum("_q").alias("total_products_sold"), _sum("_v").alias("_v"))
     )
-    all_orders = orders.agg(_sum("total_amount").cast("double")).scalar()
-    revenue = half_up(F.col("_v").cast("double") / HUNDRED_THOUSAND, 5)
-    mean = half_up(ratio(F.col("_v"), F.col("total_orders")) / HUNDRED_THOUSAND, 5)
+    all_orders = orders.agg(_sum("total_amount")).scalar()
+    revenue = rounded_ratio(F.col("_v"), F.lit(HUNDRED_THOUSAND), 5)
+    mean = rounded_ratio(F.col("_v"), F.col("total_orders") * HUNDRED_THOUSAND, 5)
     return (
         per_brand.join(brands.select("brand_id", "brand_name"), "brand_id")
         .select(
@@ -53,7 +53,7 @@ def brand_performance(
             mean.alias("avg_order_value_oht"),
         )
         .withColumn(
-            "revenue_share_pct", half_up(F.try_divide(F.col("total_revenue_oht") * 10000000.0, all_orders), 2)
+            "revenue_share_pct", rounded_ratio(F.col("total_revenue_oht") * 10000000, all_orders, 2)
         )
         .orderBy(F.desc("revenue_share_pct"), "brand_id")
     )
@@ -372,7 +372,7 @@ def customer_rfm(
             F.col("total_orders").alias("frequency_orders"),
             F.col("total_spent").alias("monetary_value"),
             half_up(F.col("avg_order_value"), 2).alias("avg_order_value"),
-            half_up(F.coalesce("avg_review_score", F.lit(0.0)), 2).alias("avg_review_score"),
+            F.coalesce(F.col("avg_review_score"), F.lit(0)).alias("avg_review_score"),
             "customer_rank",
             F.to_date("last_order").alias("last_order_date"),
         )
@@ -563,7 +563,7 @@ def subsidiary_performance(subsidiaries: DataFrame, order_items: DataFrame, orde
         _sum("_sale").alias("_sale"),
         _sum("_v").alias("_v"),
     )
-    mean = half_up(ratio(F.col("_v"), F.col("total_orders")) / HUNDRED_THOUSAND, 3)
+    mean = rounded_ratio(F.col("_v"), F.col("total_orders") * HUNDRED_THOUSAND, 3)
     return per_branch.join(subsidiaries, F.col("subsidiary_id") == F.col("sub_id")).select(
         "sub_id",
         "sub_name",
@@ -571,7 +571,7 @@ def subsidiary_performance(subsidiaries: DataFrame, order_items: DataFrame, orde
         F.initcap("sub_city").alias("sub_city"),
         "total_orders",
         "total_customers",
-        half_up(F.col("_sale").cast("double") / HUNDRED_THOUSAND, 3).alias("total_revenue"),
+        rounded_ratio(F.col("_sale"), F.lit(HUNDRED_THOUSAND), 3).alias("total_revenue"),
         mean.alias("avg_order_value"),
     )
 

@@ -114,3 +114,18 @@ def test_rfm_segments_first_match(spark):
 def test_offset_stays_in_range(spark):
     span = spark.range(5000).select(hashing.offset(7, 90, F.col("id")).alias("d")).agg(F.min("d"), F.max("d")).first()
     assert tuple(span) == (7, 90)
+
+
+@pytest.mark.parametrize(
+    "top,bottom,places,want",
+    [
+        ("201", "200", 2, "1.01"), ("-201", "200", 2, "-1.01"), ("201", "-200", 2, "-1.01"), ("1", "3", 2, "0.33"), ("-2", "3", 2, "-0.67"),
+        ("0.005", "1", 2, "0.01"), ("1.0049", "1", 2, "1.00"), ("90071992547409930.05", "1", 2, "90071992547409930.05"),
+        ("90071992547409930.05", "10", 2, "9007199254740993.01"), ("1", "0", 2, None), (None, "1", 2, None), ("0", "5", 5, "0.00000"),
+    ],
+)
+def test_rounding_is_exact(spark, top, bottom, places, want):
+    row = spark.range(1).select(
+        money.rounded_ratio(F.lit(top).cast("decimal(28,6)"), F.lit(bottom).cast("decimal(18,2)"), places).alias("x")
+    ).first()
+    assert (None if row.x is None else str(row.x)) == want

@@ -34,9 +34,9 @@ def test_category_fan_out(spark, tables):
         FROM g_products p JOIN g_categories c ON p.category_id = c.cate_id
         JOIN g_reviews r ON p.product_id = r.product_id JOIN g_order_items o ON p.product_id = o.product_id GROUP BY cate_id""")
     want = {r.cate_id: (r.total_products, r.total_sold, r.total_orders, float(r.total_revenue), float(r.score), float(r.price)) for r in want.collect()}
-    found = {r.cate_id: (r.total_products, r.total_sold, r.total_orders, float(r.total_revenue), r.avg_review_score, r.avg_price) for r in have.collect()}
+    found = {r.cate_id: (r.total_products, r.total_sold, r.total_orders, float(r.total_revenue), float(r.avg_review_score), float(r.avg_price)) for r in have.collect()}
     assert found == want
-    assert sum(r.revenue_share for r in have.collect()) == pytest.approx(100, abs=0.05)
+    assert float(sum(r.revenue_share for r in have.collect())) == pytest.approx(100, abs=0.05)
 
 
 def test_product_fan_out_and_exact(spark, tables):

@@ -13,7 +13,6 @@ from workload import catalog, oracle
 
 SQL = oracle.all_sql()
 NAMES = list(catalog.QUERIES)
-WITHOUT_SQL = {"agg_approx_distinct", "ts_percentiles_approx", "meta_as_json"}
 
 
 @pytest.fixture(scope="module")
@@ -21,26 +20,15 @@ def con():
     return connect(SMALL)
 
 
-def test_every_query_has_sql_unless_it_is_approximate():
-    assert set(NAMES) - set(SQL) == WITHOUT_SQL and not set(SQL) - set(NAMES)
+def test_every_query_has_sql():
+    assert set(NAMES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", [n for n in NAMES if n in SQL])
+@pytest.mark.parametrize("name", NAMES)
 def test_equal_to_its_sql(spark, con, name):
     assert compare(spark, con, name, SMALL) == ""
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_without_sql(spark, name):
-    assert entry.queries()[name](spark, SMALL).count() > 0
-
-
-def test_approximate_distinct_is_close(spark):
-    near = {r.subsidiary_id: r.products for r in entry.queries()["agg_approx_distinct"](spark, SMALL).collect()}
-    exact = {r.subsidiary_id: r.products for r in entry.queries()["agg_count_distinct"](spark, SMALL).collect()}
-    assert all(abs(near[k] - exact[k]) <= 0.08 * exact[k] + 1 for k in exact)
-
-
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0 and "avg_order_value" in frame.columns

@@ -355,7 +355,13 @@ def agg_count_distinct(t: Tables) -> DataFrame:
 
 @query
 def agg_approx_distinct(t: Tables) -> DataFrame:
-    return t["b_items"].groupBy("subsidiary_id").agg(F.approx_count_distinct("product_id", 0.02).alias("products"))
+    """The exact count, and whether the sketch is within four of its standard errors."""
+    error = 0.02
+    found = t["b_items"].groupBy("subsidiary_id").agg(
+        F.approx_count_distinct("product_id", error).alias("_near"), F.count_distinct("product_id").alias("products")
+    )
+    within = F.abs(F.col("_near") - F.col("products")) <= 4 * error * F.col("products") + 1
+    return found.withColumn("within", within).drop("_near")
 
 
 @query
@@ -654,7 +660,20 @@ def ts_percentiles(t: Tables) -> DataFrame:
 
 @query
 def ts_percentiles_approx(t: Tables) -> DataFrame:
-    return metrics.approximate_percentiles(t["b_metrics"], ["measurement"])
+    """The number of samples, and whether each sketched value stands within the stated error of its rank."""
+    near = metrics.approximate_percentiles(t["b_metrics"], ["measurement"])
+    names = [c for c in near.columns if c != "measurement"]
+    value = F.col("value")
+    counts = [F.count("value").alias("samples")]
+    for name in names:
+        counts += [F.count_if(value < F.col(name)).alias(f"_below_{name}"), F.count_if(value <= F.col(name)).alias(f"_upto_{name}")]
+    ranked = t["b_metrics"].where(value.isNotNull()).join(near, "measurement").groupBy("measurement").agg(*counts)
+    slack = F.col("samples") / 10000 + 1
+    within = F.lit(True)
+    for name, share in zip(names, metrics.PERCENTILES):
+        rank = F.col("samples") * share
+        within = within & (F.col(f"_below_{name}") <= rank + slack) & (F.col(f"_upto_{name}") >= rank - slack)
+    return ranked.select("measurement", "samples", within.alias("within"))
 
 
 @query

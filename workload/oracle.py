@@ -12,17 +12,35 @@ def dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
 
+class Ratio(str):
+    """A quotient as doubles that still knows its two sides."""
+
+    top: str
+    bottom: str
+
+
+def _millionths(x: str) -> str:
+    return f"CAST(replace(CAST(CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '.', '') AS HUGEINT)"
+
+
 def half_up(x: str, places: int = 2) -> str:
-    scale = f"1{'0' * places}.0"
-    return f"floor(CAST({x} AS DOUBLE) * {scale} + 0.5) / {scale}"
+    """Round half away from zero: exactly, in whole numbers, where the two sides of a quotient are known."""
+    scale = f"1{'0' * places}"
+    if isinstance(x, Ratio):
+        a, b = _millionths(x.top), _millionths(x.bottom)
+        return (f"(CASE WHEN {b} <> 0 THEN sign({a}) * sign({b}) * ((abs({a}) * {scale} * 2 + abs({b})) // (abs({b}) * 2)) END"
+                f" / {scale}.0::DOUBLE)")
+    return f"floor(CAST({x} AS DOUBLE) * {scale}.0 + 0.5) / {scale}.0"
 
 
-def ratio(a: str, b: str) -> str:
-    return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
+def ratio(a: str, b: str) -> Ratio:
+    made = Ratio(f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))")
+    made.top, made.bottom = a, b
+    return made
 
 
 def pct(a: str, b: str, places: int = 2) -> str:
-    return half_up(f"CAST({a} AS DOUBLE) * 100.0 / NULLIF(CAST({b} AS DOUBLE), 0)", places)
+    return half_up(ratio(f"({a}) * 100", b), places)
 
 
 def h(*parts: str) -> str:
@@ -743,10 +761,10 @@ ORACLES: dict[str, str] = {
               FROM {{o_sessions}} WINDOW w AS (PARTITION BY acc_id, session_no ORDER BY event_time, event_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) t""",
     # gold
-    "gold_brand_performance": f"""SELECT *, {half_up('total_revenue_oht * 10000000.0 / (SELECT CAST(sum(total_amount) AS DOUBLE) FROM {b_orders})')} AS revenue_share_pct
+    "gold_brand_performance": f"""SELECT *, {half_up(ratio('total_revenue_oht * 10000000', '(SELECT sum(total_amount) FROM {b_orders})'))} AS revenue_share_pct
         FROM (SELECT p.brand_id, brand_name, count(*) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_products_sold,
-                     {half_up(dbl('sum(total_price)') + ' / 100000.0', 5)} AS total_revenue_oht,
-                     {half_up(ratio('sum(total_price)', 'count(*)') + ' / 100000.0', 5)} AS avg_order_value_oht
+                     {half_up(ratio('sum(total_price)', '100000'), 5)} AS total_revenue_oht,
+                     {half_up(ratio('sum(total_price)', 'count(*) * 100000'), 5)} AS avg_order_value_oht
               FROM {{b_order_items}} i JOIN {{b_products}} p ON i.product_id = p.product_id JOIN {{b_brands}} b ON b.brand_id = p.brand_id GROUP BY 1, 2) t""",
     "gold_brand_reviewed": f"""SELECT brand_id, brand_name, score AS avg_review_score, pos AS total_positive_reviews, neu AS total_neutral_reviews,
         neg AS total_negative_reviews, {pct('pos', 'pos + neu + neg')} AS positive_review_rate, {pct('neg', 'pos + neu + neg')} AS negative_review_rate,
@@ -847,8 +865,8 @@ ORACLES: dict[str, str] = {
         CAST(max(datediff('day', shipped_at, delivered_at)) AS INT) AS max_days, CAST(min(datediff('day', shipped_at, delivered_at)) AS INT) AS min_days,
         {pct('count(*) FILTER (delivered_at < estimated_delivery_date)', 'count(*)')} AS ontime_rate FROM {{b_orders}} GROUP BY 1, 2""",
     "gold_subsidiary_performance": f"""SELECT sub_id, sub_name, sub_district, upper(left(sub_city, 1)) || lower(substr(sub_city, 2)) AS sub_city,
-        count(*) AS total_orders, count(DISTINCT acc_id) AS total_customers, {half_up(dbl('sum(sale_price)') + ' / 100000.0', 3)} AS total_revenue,
-        {half_up(ratio('sum(total_price)', 'count(*)') + ' / 100000.0', 3)} AS avg_order_value
+        count(*) AS total_orders, count(DISTINCT acc_id) AS total_customers, {half_up(ratio('sum(sale_price)', '100000'), 3)} AS total_revenue,
+        {half_up(ratio('sum(total_price)', 'count(*) * 100000'), 3)} AS avg_order_value
         FROM {{b_subsidiaries}} s JOIN {{b_order_items}} i ON s.sub_id = i.subsidiary_id JOIN {{b_orders}} o ON i.order_id = o.order_id GROUP BY 1, 2, 3, 4""",
     "gold_subsidiary_shipping_performance": _subsidiary_shipping(False),
     "gold_subsidiary_shipping_performance_exact": _subsidiary_shipping(True),
@@ -888,11 +906,19 @@ def _record(table: str, key: str, columns: list[str], layer: str, fmt: str, all_
 _GOLD_RECORD = f"""SELECT count(DISTINCT date_trunc('month', created_at)) AS row_count, {len(MONTH_COLUMNS)} AS column_count,
     'order_performance' AS query_name, 'gold' AS layer, 'SUCCESS' AS status, 'parquet' AS format, '{','.join(MONTH_COLUMNS)}' AS columns,
     'quaymark' AS framework, '1.0.0' AS framework_version FROM {{b_orders}}"""
+_QUOTED_COLUMNS = ",".join(f'"{c}"' for c in MONTH_COLUMNS)
+_GOLD_JSON = f'''SELECT '{{{{"row_count":' || count(DISTINCT date_trunc('month', created_at)) || ',"column_count":{len(MONTH_COLUMNS)},'
+    || '"query_name":"order_performance","target_table":"gold.order_performance","layer":"gold","object_path":"/gold/order_performance",'
+    || '"status":"SUCCESS","format":"parquet","processing_duration":null,"columns":[{_QUOTED_COLUMNS}],'
+    || '"framework":"quaymark","framework_version":"1.0.0"}}}}' AS record FROM {{b_orders}}'''
 ORACLES |= {
     "meta_bronze": _record("{r_employees}", "emp_id", EMPLOYEE_COLUMNS, "bronze", "csv", False, "employees"),
     "layer_bronze": _record("{r_employees}", "emp_id", EMPLOYEE_COLUMNS, "bronze", "csv", False, "employees"),
     "meta_silver": _record("{b_orders}", "order_id", ORDER_COLUMNS, "silver", "parquet", True, "orders"),
     "layer_silver": _record(f"({ORACLES['silver_brands']}) t", "brand_id", BRAND_COLUMNS, "silver", "parquet", True),
+    "agg_approx_distinct": """SELECT subsidiary_id, count(DISTINCT product_id) AS products, true AS within FROM {b_order_items} GROUP BY 1""",
+    "ts_percentiles_approx": "SELECT measurement, count(value) AS samples, true AS within FROM {b_metrics} GROUP BY 1 HAVING count(value) > 0",
+    "meta_as_json": _GOLD_JSON,
     "meta_gold": _GOLD_RECORD,
     "layer_gold": _GOLD_RECORD,
 }
