@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_shared_folders: set[str] = set()
 
 
 def build_session(app: str = "quaymark", **conf: object) -> SparkSession:
@@ -41,7 +42,11 @@ def workspace(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     app_id = spark.sparkContext.applicationId
     if shared:
-        return f"{shared.rstrip('/')}/quaymark/{app_id}"
+        folder = f"{shared.rstrip('/')}/quaymark/{app_id}"
+        if folder not in _shared_folders:
+            _shared_folders.add(folder)
+            atexit.register(remove_folder, spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     if app_id not in _local_folders:
@@ -51,6 +56,18 @@ def workspace(spark: SparkSession) -> str:
     return _local_folders[app_id]
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an application's own scratch folder through the file system that holds it.
+
+    Runs when the driver's Python ends; a session that was stopped before leaves the folder behind.
+    """
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     return f"{workspace(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -12,6 +12,12 @@ from .readers import require_text, table_name
 
 MODES = ("overwrite", "append", "ignore", "error")
 
+#: With these a text comes back as it was: line breaks, quotes, blanks at its ends, empty and null are told apart.
+CSV_OPTIONS = {
+    "header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
+    "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
 
 class PublishError(RuntimeError):
     """The published copy is empty or differs from what was staged."""
@@ -27,14 +33,18 @@ def _mode(mode: str) -> str:
 def write_csv(
     df: DataFrame, base: str, layer: str, dataset: str, mode: str = "overwrite", at: datetime | None = None
 ) -> str:
-    """Write with a header under base/layer/dataset/<timestamp> and return that path."""
+    """Write values as text, with a header, under base/layer/dataset/<timestamp> and return that path."""
     names = require_text(base=base, layer=layer, dataset=dataset)
-    stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S_%f")
     path = f"{names['base'].rstrip('/')}/{names['layer']}/{names['dataset']}/{stamp}"
-    df.write.mode(_mode(mode)).option("header", True).csv(path)
+    as_text(df).write.mode(_mode(mode)).options(**CSV_OPTIONS).csv(path)
     return path
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+
+
 def write_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> str:
     df.write.format(fmt).mode(_mode(mode)).save(path)
     return path
@@ -58,19 +68,18 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, staged: str, target: str, fmt: str, schema: T.StructType, **options: str
+    spark: SparkSession, source: DataFrame, staged: str, target: str, fmt: str, schema: T.StructType, **options: str
 ) -> DataFrame:
-    """Copy staged files to their target and check the copy before anyone uses it.
+    """Copy staged files to their target and check the copy against the source before anyone uses it.
 
-    Returns one row (row_count, hash_sum). Raises when the copy is empty or not the same rows.
+    Returns one row (row_count, hash_sum). Raises when the copy is empty or not the source's rows.
     """
     reader = spark.read.format(fmt).options(**options).schema(schema)
-    before = reader.load(staged)
-    before.write.format(fmt).options(**options).mode("overwrite").save(target)
-    sent, found = fingerprint(before), fingerprint(reader.load(target))
+    reader.load(staged).write.format(fmt).options(**options).mode("overwrite").save(target)
+    sent, found = fingerprint(source), fingerprint(reader.load(target))
     one, two = sent.first(), found.first()
     if one != two:
-        raise PublishError(f"{target} holds {two.row_count} rows, staged were {one.row_count}, or they differ")
+        raise PublishError(f"{target} holds {two.row_count} rows, the source {one.row_count}, or they differ")
     if two.row_count == 0:
         raise PublishError(f"{target} is empty")
     return found

@@ -69,10 +69,12 @@ def test_publish_checks_the_copy(spark):
     df = spark.range(100)
     staged = writers.write_path(df, new_folder(spark, "staged"))
     target = new_folder(spark, "target")
-    assert writers.publish(spark, staged, target, "parquet", df.schema).first().row_count == 100
+    assert writers.publish(spark, df, staged, target, "parquet", df.schema).first().row_count == 100
     empty = writers.write_path(df.limit(0), new_folder(spark, "staged"))
     with pytest.raises(writers.PublishError):
-        writers.publish(spark, empty, new_folder(spark, "target"), "parquet", df.schema)
+        writers.publish(spark, df.limit(0), empty, new_folder(spark, "target"), "parquet", df.schema)
+    with pytest.raises(writers.PublishError):
+        writers.publish(spark, spark.range(1, 101), staged, new_folder(spark, "target"), "parquet", df.schema)
 
 
 def test_fingerprint_ignores_order_but_not_values(spark):
@@ -91,6 +93,15 @@ def test_bronze_layer(spark):
         layers.run_bronze(df.limit(0), new_folder(spark, "bronze"), "bronze", "things")
 
 
+def test_texts_survive_the_publish(spark):
+    texts = ["two\nlines", "", None, '"quoted", with comma', "  blanks  ", "\r\n", "back\\slash", "é 日本"]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    done = layers.run_bronze(df, new_folder(spark, "bronze"), "bronze", "texts")
+    assert done.path
+    back = readers.read_path(spark, done.path, "csv", df.schema, **writers.CSV_OPTIONS)
+    assert {r.a: r.b for r in back.collect()} == dict(enumerate(texts))
+
+
 def test_silver_layer_runs_its_transform_once(spark):
     calls = []
 

@@ -58,7 +58,19 @@ def src_named_sql(t: Tables) -> DataFrame:
 def sink_csv_roundtrip(t: Tables) -> DataFrame:
     sent = t["b_products"]
     path = writers.write_csv(sent, new_folder(t.spark, "csv"), "bronze", "products")
-    return readers.read_path(t.spark, path, "csv", sent.schema, header="true")
+    return readers.read_path(t.spark, path, "csv", sent.schema, **writers.CSV_OPTIONS)
+
+
+@query
+def sink_csv_texts(t: Tables) -> DataFrame:
+    """Whole texts with line breaks and quotes, an empty one and a null one, published as CSV and read back."""
+    first = t["documents"].agg(F.min("doc_id")).scalar()
+    text = F.when(F.col("doc_id") == first, F.lit("")).when(F.col("doc_id") == first + 1, F.lit(None)).otherwise(F.col("text"))
+    sent = t["documents"].withColumn("text", text)
+    staged, target = writers.write_csv(sent, new_folder(t.spark, "csv"), "bronze", "documents"), new_folder(t.spark, "published")
+    plain = writers.as_text(sent)
+    writers.publish(t.spark, plain, staged, target, "csv", plain.schema, **writers.CSV_OPTIONS)
+    return readers.read_path(t.spark, target, "csv", sent.schema, **writers.CSV_OPTIONS).withColumn("text_md5", F.md5("text")).drop("text")
 
 
 @query
@@ -80,7 +92,7 @@ def sink_verified_publish(t: Tables) -> DataFrame:
     sent = t["b_payments"]
     staged = writers.write_path(sent, new_folder(t.spark, "staged"))
     target = new_folder(t.spark, "published")
-    writers.publish(t.spark, staged, target, "parquet", sent.schema)
+    writers.publish(t.spark, sent, staged, target, "parquet", sent.schema)
     return readers.read_path(t.spark, target, schema=sent.schema)
 
 

@@ -452,6 +452,8 @@ ORACLES: dict[str, str] = {
         FROM ({ORDER_PERFORMANCE}) t""",
     "sink_csv_roundtrip": f"""SELECT * REPLACE ({dbl('product_listprice')} AS product_listprice,
         {dbl('product_volume_cm3')} AS product_volume_cm3) FROM {{b_products}}""",
+    "sink_csv_texts": """SELECT * EXCLUDE (text), CASE doc_id - (SELECT min(doc_id) FROM {documents}) WHEN 0 THEN md5('') WHEN 1 THEN NULL
+        ELSE md5(text) END AS text_md5 FROM {documents}""",
     "sink_parquet_roundtrip": f"""SELECT * REPLACE ({dbl('total_amount')} AS total_amount,
         {dbl('total_shipfee')} AS total_shipfee) FROM {{b_orders}}""",
     "sink_table_roundtrip": ORDER_PERFORMANCE,
