@@ -24,10 +24,6 @@ def key_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
 
 
-def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def unit_hash(*columns: Column) -> Column:
     """A number in (0, 1) that is the same in every run, from 52 bits of a digest."""
     digest = F.md5(F.concat_ws("|", *(c.cast("string") for c in columns)))
