@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from quaymark.operators import logs, metrics
