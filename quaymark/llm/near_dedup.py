@@ -165,7 +165,7 @@ def _untried(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
 
 
 def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """rep, component, n_shingles, shingle: the rarest shingles of each set, as many as it may miss and one more.
+    """rep, component, n_shingles, shingle, _place: the rarest shingles of each set, as many as it may miss and one more.
 
     Rarity is the number of these sets that hold a shingle; those that one set alone holds match nothing.
     """
@@ -187,18 +187,26 @@ def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     held = each.groupBy("shingle").agg(F.count("*").alias("_sets"))
     place = F.row_number().over(Window.partitionBy("rep").orderBy("_sets", "shingle"))
     most = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
-    return each.join(held, "shingle").withColumn("_place", place).where((F.col("_place") <= most) & (F.col("_sets") > 1)).drop("_place", "_sets")
+    return each.join(held, "shingle").withColumn("_place", place).where((F.col("_place") <= most) & (F.col("_sets") > 1)).drop("_sets")
 
 
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that share one of their rarest shingles."""
+    """Pairs (a, b) of different components that share one of their rarest shingles, early enough.
+
+    The first shingle that two sets share, in order of rarity, stands at a place of each; behind it they can share as many
+    as the shorter rest holds. A pair is named only where that suffices for the similarity, which leaves out most
+    documents that have a passage in common and parts of their own.
+    """
     rare = stage(_rare(members, sets, percent), "rare")
     mixed = rare.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
     rare = rare.join(mixed.select("shingle"), "shingle", "left_semi")
-    left = rare.select("shingle", F.col("rep").alias("a"), F.col("component").alias("_ca"), F.col("n_shingles").alias("_na"))
-    right = rare.select("shingle", F.col("rep").alias("b"), F.col("component").alias("_cb"), F.col("n_shingles").alias("_nb"))
+    side = lambda name: rare.select(
+        "shingle", F.col("rep").alias(name), F.col("component").alias(f"_c{name}"), F.col("n_shingles").alias(f"_n{name}"),
+        (F.col("n_shingles") - F.col("_place") + 1).alias(f"_left{name}"),
+    )
     apart = (F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & _near("_na", "_nb", percent)
-    return left.join(right, "shingle").where(apart).select("a", "b").distinct()
+    enough = F.least("_lefta", "_leftb") * (100 + percent) >= percent * (F.col("_na") + F.col("_nb"))
+    return side("a").join(side("b"), "shingle").where(apart & enough).select("a", "b").distinct()
 
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
