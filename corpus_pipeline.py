@@ -31,8 +31,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents drawn so that sources, languages and topics get their target weights."""
-    return mixing.sample(docs)
+    """Documents drawn so that sources, languages and topics get their target weights within the token budget."""
+    return mixing.sample(docs, keep=mixing.KEEP)
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -96,3 +96,27 @@ def test_the_pipeline_takes_odd_documents(spark, odd, none, tmp_path):
 def test_the_pipeline_is_its_stages(spark):
     rows = queries.pipeline(spark, SMALL).collect()
     assert rows and len({(r.doc_id, r.piece) for r in rows}) == len(rows)
+
+
+def test_one_rare_document_does_not_set_the_budget(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rare = [(-1, "five words in a cell", None, "src0"), (-2, "five words in a cell", "en", None), (-3, "five words of another", "xx", "new")]
+    base = {r.doc_id: r for r in mixing.mix(docs, keep=mixing.KEEP).collect()}
+    whole = sum(r.tokens for r in base.values())
+    assert sum(r.probability * r.tokens for r in base.values()) == pytest.approx(mixing.KEEP * whole, rel=1e-6)
+    for row in rare:
+        more = spark.createDataFrame([row], docs.schema)
+        rows = {r.doc_id: r for r in mixing.mix(docs.unionByName(more), keep=mixing.KEEP).collect()}
+        assert rows[row[0]].probability == pytest.approx(1.0, abs=1e-3)
+        assert all(abs(rows[i].probability - r.probability) < 0.02 for i, r in base.items())
+        tokens = sum(r.probability * r.tokens for r in rows.values())
+        assert tokens == pytest.approx(mixing.KEEP * (whole + rows[row[0]].tokens), rel=1e-6)
+
+
+def test_the_pipeline_mixes_within_its_budget(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    tall = docs.unionByName(docs.limit(1).withColumns({"doc_id": F.lit(-1).cast("long"), "text": F.lit("one two"), "source": F.lit("new")}))
+    drawn = corpus_pipeline.mix_sources(spark, tall, SMALL)
+    tokens = lambda frame: frame.agg(F.sum(mixing.words())).first()[0]
+    assert drawn.where("doc_id = -1").count() == 1
+    assert tokens(drawn) == pytest.approx(mixing.KEEP * tokens(tall), rel=0.15)
