@@ -1,7 +1,7 @@
 """Secret scan: three fixed patterns, and a guess-cost search over values that stand where a credential would.
 
 Patterns (`assign`, `access`, `hex`) are matched leftmost and without overlap, then dropped if too short. On top,
-the value behind a credential word and `:` or `=` is cut into segments that are cheapest to guess: a frequent word
+the value behind a credential word and `:` or `=`, or behind `Bearer`, is cut into segments that are cheapest to guess: a frequent word
 (by its rank in the vocabulary), a date or year, a repeated unit, a keyboard or alphabet walk, or single
 characters by brute force. The cheapest cut is found by a dynamic program over the positions of the value; a value
 that costs at least `MIN_LOG10_GUESSES` is a `guess` span. The vocabulary is the tokenizer's, read by path.
@@ -31,10 +31,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the same as runs of any length, then those of 16 and more
 KINDS = ("assign", "access", "hex", "guess")
 
-#: A credential word, then : or =, then a value. Words that the assign pattern has and others.
+#: A credential word, then : or =, then a value, with a scheme such as Bearer before it or not; or Bearer and a value.
+#: Words that the assign pattern has and others.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth)[_-]?key|bearer|auth)"""
-    r"""["']?[\x20\t]*(?::|=>?)[\x20\t]*["']?([^\s"'<>,;]+)""",
+    r"""(?:(?:pass(?:word|wd|phrase|code)?|pwd|(?:secret|token|credentials?)(?:[_-]?(?:access[_-]?)?key(?:[_-]?base)?)?"""
+    r"""|(?:api|access|private|auth|signing|encryption|master|session|shared|service|account|client|consumer|deploy|ssh|hmac|jwt"""
+    r"""|webhook|storage|license)[_-]?key|bearer|auth(?:orization)?)"""
+    r"""["']?[\x20\t]*(?::|=>?)[\x20\t]*["']?(?:(?:bearer|basic|token)[\x20\t]+)?"""
+    r"""|\bbearer[\x20\t]+["']?(?!(?:token|secret|credentials?|password|key)["']?[\x20\t]*[:=]))"""
+    r"""([^\s"'<>,;]+)""",
     re.IGNORECASE | re.ASCII,
 )
 MIN_LOG10_GUESSES = 11.0
@@ -47,7 +52,11 @@ DATE = re.compile(
 )
 PLAIN = str.maketrans("@4310$57", "aaeiosst")  # usual swaps of letters
 
-LOG_BRUTE = 1.0  # a character of unknown kind
+LOG_BRUTE = 1.0  # a character of a value of one class, or a lone sign
+#: Signs that join the words of a name or path; they make no class of their own.
+JOINERS = frozenset("._-/:")
+#: How many characters a class has: small letters, capitals, digits, anything else.
+CLASSES = (26, 26, 10, 33)
 LOG_DATE = math.log10(365 * 120)
 LOG_SEGMENT = math.log10(2)  # any cut may be there or not
 
@@ -74,6 +83,12 @@ def _walk_lengths(low: str) -> list[int]:
     return reach
 
 
+def _log_brute(value: str) -> float:
+    """What a character costs by brute force, by the classes the value mixes."""
+    classes = {0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 for c in value if c not in JOINERS}
+    return math.log10(sum(CLASSES[k] for k in classes)) if len(classes) > 1 else LOG_BRUTE
+
+
 def log10_guesses(value: str, words: dict[str, float]) -> float:
     """The least cost of any segmentation, as log10 of guesses."""
     low, n = value.lower(), len(value)
@@ -81,6 +96,7 @@ def log10_guesses(value: str, words: dict[str, float]) -> float:
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(PLAIN)
     reach = _walk_lengths(low)
+    one = _log_brute(value)
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]  # segments by start: (end, cost)
     for match in DATE.finditer(low):
         ends[match.start()].append((match.end(), LOG_DATE if match.end() - match.start() > 4 else 2.1))
@@ -89,16 +105,18 @@ def log10_guesses(value: str, words: dict[str, float]) -> float:
         for unit in run:  # how long the text from i on repeats with this period
             run[unit] = run[unit] + 1 if i + unit < n and low[i] == low[i + unit] else 0
             if (length := run[unit] + unit) >= max(3, 2 * unit):
-                ends[i].append((i + length, unit * LOG_BRUTE + math.log10(length / unit)))
+                ends[i].append((i + length, unit * one + math.log10(length / unit)))
         if reach[i] >= 3:
             ends[i].append((i + reach[i], 1.5 + math.log10(reach[i])))
     best = [0.0] + [math.inf] * n
     brute = [math.inf] * (n + 1)  # the cheapest way that ends in a brute-force span
     for i in range(n):
-        start = min(best[i] + LOG_SEGMENT, brute[i]) + LOG_BRUTE
+        start = min(best[i] + LOG_SEGMENT, brute[i]) + one
         brute[i + 1] = start
         best[i + 1] = min(best[i + 1], start)
         base = best[i] + LOG_SEGMENT
+        if not low[i].isalnum():  # a sign between words costs the same in a value of any classes
+            best[i + 1] = min(best[i + 1], base + LOG_BRUTE)
         for stop, cost in ends[i]:
             best[stop] = min(best[stop], base + cost)
         if low[i].isalpha() or plain[i].isalpha():
@@ -118,7 +136,7 @@ def spans_of(text: str, words: dict[str, float]) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if ":" in text or "=" in text:
+    if ":" in text or "=" in text or "bearer" in text.lower():
         found += [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if log10_guesses(m[1], words) >= MIN_LOG10_GUESSES]
     return sorted(found)
 

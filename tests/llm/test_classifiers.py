@@ -102,6 +102,28 @@ def test_only_costly_values_are_guesses():
     assert secrets.log10_guesses("x9" * 20_000, words) < 10
 
 
+def test_short_random_passwords_are_guesses():
+    words = secrets.words_of(queries.VOCABULARY)
+    dear = ("K9$mQ2!v", "xK9$mQ2!v", "k3v9x2q7", "kvxq3927", "R7tPz4Wq", "R7tPz4WqLm", "Zk4$w9!pQ7x")
+    cheap = ("Password1", "summer2023", "Welcome1!", "letmein123", "qwerty12", "abc12345", "Monkey99", "config.value")
+    spans = lambda text: [text[a:b] for a, k, b in secrets.spans_of(text, words) if k == 3]
+    for value in dear:
+        assert spans(f"password: {value} and more") == [value]
+    for value in cheap:
+        assert spans(f"password: {value} and more") == []
+
+
+@pytest.mark.parametrize("before", [
+    "secret_key = ", "signing_key: ", "Authorization: Bearer ", "bearer ", "auth: Basic ", "bearer token: ", "SECRET_ACCESS_KEY=", "client-secret: "
+])
+def test_contexts_of_guesses(before):
+    words = secrets.words_of(queries.VOCABULARY)
+    value = "R7tPz4WqLm"
+    found = [s for s in secrets.spans_of(f"x {before}{value} y", words) if s[1] == 3]
+    assert found == [(2 + len(before), 3, 2 + len(before) + len(value))]
+    assert not secrets.spans_of("the bearer of good news, a signing_key: none", words)
+
+
 def test_the_search_finds_the_cheapest_cut():
     words = {"cat": 0.5, "catnip": 2.0, "nip": 1.0, "dog": 0.7}
 
