@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, near_dedup, packing, quality, secrets, substring_dedup, token_counts, vectors
+from . import (
+    conversations, exact_dedup, fingerprints, language_id, mixing, near_dedup, packing, quality, secrets, spelling,
+    substring_dedup, token_counts, vectors,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +77,27 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.classes(documents, exact_dedup.earlier_half(documents))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.audited(_table(spark, folder, "conversations"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    runs = spelling.runs(_table(spark, folder, "documents"))
+    return spelling.variants(spelling.vocabulary(spelling.with_slips(runs)))
+
+
+def op13_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """The contract's columns, and how many other documents lie within the radius of each document."""
+    rows = fingerprints.with_near(fingerprints.edited(_table(spark, folder, "documents")))
+    hexadecimal = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    like = lambda c: 1 - F.bit_count(F.col("fingerprint").bitwiseXOR(F.col(c))) / fingerprints.BITS
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256", hexadecimal("fingerprint").alias("fingerprint"),
+        hexadecimal("edited_fingerprint").alias("edited_fingerprint"), like("edited_fingerprint").alias("near_edited"),
+        like("next_fingerprint").alias("near_next"), "n_near",
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +107,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_best_fit_packing, op2_language_id, op3_token_counts, op4_quality_classifier, op5_substring_dedup,
     op6_minhash_near_dedup, op7_secret_scan,
-    op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup, pipeline,
+    op8_embedding_near_dedup, op9_source_mixing, op10_exact_dedup, op11_conversation_repair, op12_spelling_variants,
+    op13_document_fingerprints, pipeline,
 )}
 
 SQL: dict[str, str] = {
