@@ -6,12 +6,16 @@ slice, and shifted by the number of rows in the slices before.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.hashing import key_number
+from ..sources import files
 from .ordered import POS, SLICE, slice_rows
 
 
@@ -48,6 +52,43 @@ def dense_keys(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     return df.join(renamed, same).drop(*[f"_key_{c}" for c in columns])
 
 
+def _key_map(spark: SparkSession, base: str) -> dict:
+    text = files.read_text(spark, f"{base}/KEYS")
+    return json.loads(text) if text else {"parts": [], "last": 0}
+
+
+def stable_keys(df: DataFrame, columns: Sequence[str], name: str, base: str) -> DataFrame:
+    """Give each row the number of its values in a key map kept at `base`; new values are numbered behind the last one.
+
+    Numbers never change: values already in the map are found by an anti join, and only the others are sorted, numbered
+    and written, as one more part. A small text names the parts that count and is replaced in one step, so a run that
+    dies leaves the map as it was, and a run over the same rows adds nothing. One run at a time extends a map.
+    """
+    spark, base = df.sparkSession, base.rstrip("/")
+    known = _key_map(spark, base)
+    schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns] + [T.StructField(name, T.LongType())])
+
+    def named(part_paths: list[str]) -> DataFrame:
+        found = spark.read.schema(schema).parquet(*part_paths) if part_paths else spark.createDataFrame([], schema)
+        return found.select(*[F.col(c).alias(f"_key_{c}") for c in columns], name)
+
+    def same(left: DataFrame, right: DataFrame) -> list[Column]:
+        return [left[c].eqNullSafe(right[f"_key_{c}"]) for c in columns]
+
+    values, old = df.select(*columns).distinct(), named(known["parts"])
+    new = number_rows(values.join(old, same(values, old), "left_anti"), columns, name)
+    part = f"{base}/parts/{uuid.uuid4().hex}"
+    new.select(*columns, (F.col(name) + known["last"]).alias(name)).write.parquet(part)
+    added = spark.read.schema(schema).parquet(part).count()
+    if added:
+        known = {"parts": [*known["parts"], part], "last": known["last"] + added}
+        files.replace_text(spark, f"{base}/KEYS", json.dumps(known))
+    else:
+        files.remove(spark, part)
+    keyed = named(known["parts"])
+    return df.join(keyed, same(df, keyed)).drop(*[f"_key_{c}" for c in columns])
+
+
 def tile(row_no: Column, rows: Column, tiles: int) -> Column:
     """NTILE from a row number: the first (rows mod tiles) tiles get one row more."""
     small = F.floor(rows / tiles)
