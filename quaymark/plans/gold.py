@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import money, rules, times
 from ..functions.money import half_up, percent, ratio, rounded_ratio
 from ..operators import relations
-from ..operators.keys import ntile
+from ..operators.tiles import with_tiles
 from ..session import stage
 
 HUNDRED_THOUSAND = 100000
@@ -359,7 +359,7 @@ def customer_rfm(
     """Recency, frequency and money in quintiles over all customers.
 
     Recency is ranked ascending as defined (the most recent customers get 1); `recency_desc` turns it
-    round. Ties are broken by the account id. Each quintile is one distributed numbering.
+    round. Ties are broken by the account id. The edges of all quintiles are searched together; no customer is sorted.
     """
     day = F.lit(as_of).cast("date")
     base = (
@@ -377,10 +377,9 @@ def customer_rfm(
             F.to_date("last_order").alias("last_order_date"),
         )
     )
-    recency = F.desc("recency_days") if recency_desc else F.asc("recency_days")
-    scored = ntile(base, [recency, "acc_id"], 5, "r_score")
-    scored = ntile(scored, ["frequency_orders", "acc_id"], 5, "f_score")
-    scored = ntile(scored, ["monetary_value", "acc_id"], 5, "m_score")
+    recency = -F.col("recency_days") if recency_desc else F.col("recency_days")
+    measures = {"r_score": "_recency", "f_score": "frequency_orders", "m_score": "monetary_value"}
+    scored = with_tiles(base.withColumn("_recency", recency), "acc_id", {n: (m, 5) for n, m in measures.items()})
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "acc_id",

@@ -525,8 +525,7 @@ def judged_behaviors(raw: DataFrame, products: DataFrame) -> DataFrame:
     return cleaning.with_reasons(typed, required, "product_id", products, "product_id", "product is unknown")
 
 
-def behaviors(raw: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
-    valid, _ = cleaning.split_valid(judged_behaviors(raw, products))
+def _repaired_behaviors(valid: DataFrame, as_of: Column) -> DataFrame:
     return rebuild_sessions(valid).select(
         "acc_id",
         "session_id",
@@ -539,3 +538,13 @@ def behaviors(raw: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
         as_of.cast("timestamp").alias("updated_at"),
         *LINEAGE,
     )
+
+
+def behaviors(raw: DataFrame, products: DataFrame, as_of: Column) -> DataFrame:
+    return _repaired_behaviors(cleaning.valid_rows(judged_behaviors(raw, products)), as_of)
+
+
+def behaviors_and_rejects(raw: DataFrame, products: DataFrame, as_of: Column) -> tuple[DataFrame, DataFrame]:
+    """The table, and the rows that didn't get into it with their reasons."""
+    valid, bad = cleaning.split_valid(judged_behaviors(raw, products))
+    return _repaired_behaviors(valid, as_of), bad

@@ -20,6 +20,8 @@ def build_session(app: str = "quaymark", **conf: object) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": True,
         "spark.sql.adaptive.forceOptimizeSkewedJoin": True,
         "spark.sql.session.timeZone": "UTC",
+        # tables that are built side by side share the cluster
+        "spark.scheduler.mode": "FAIR",
         # streaming state on disk, not on the heap
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
