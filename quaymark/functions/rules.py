@@ -146,7 +146,7 @@ def lookup_gender(first_name: Column, female: Sequence[str], male: Sequence[str]
 
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
-    """First rule that holds. 'Cannot Lose Them' is never reached: an earlier rule covers it."""
+    """First rule that holds. The definition's rule for 'Cannot Lose Them' is left out: loyal customers cover all of it."""
     return first_match(
         [
             ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
@@ -157,7 +157,6 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
             ((r >= 3) & (f >= 2) & (m >= 2), "Promising"),
             ((r >= 3) & (f >= 3), "Need Attention"),
             ((r <= 2) & ((f >= 3) | (m >= 3)), "At Risk"),
-            ((r <= 2) & (f >= 4) & (m >= 4), "Cannot Lose Them"),
             ((r <= 2) & (f >= 2) & (m >= 2), "Hibernating"),
             ((r <= 2) & (f <= 2) & (m <= 2), "Lost"),
         ],

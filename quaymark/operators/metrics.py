@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import ratio
@@ -131,6 +131,23 @@ def latency_alerts(samples: DataFrame, every: str = "1 day") -> DataFrame:
     return seen.filter(slow95 | slow99)
 
 
+BASELINE_DAYS = 7
+
+
+def moving_alerts(levels: DataFrame, by: Sequence[str], days: int = BASELINE_DAYS) -> DataFrame:
+    """Windows whose p95 is over twice, or p99 over five times, the mean of the windows of the days before them.
+
+    `levels` has one row per group and window (window_start, p95, p99), exact or read from sketches, so a group's rows are
+    as many as its windows. A window without earlier windows in that time has no baseline and gives no alert.
+    """
+    earlier = Window.partitionBy(*by).orderBy(F.unix_seconds("window_start")).rangeBetween(-days * 86_400, -1)
+    means = {f"base_{p}": F.avg(p).over(earlier) for p in ("p95", "p99")}
+    seen = levels.withColumns({**means, "base_windows": F.count("p95").over(earlier)})
+    slow95 = F.col("p95") > F.col("base_p95") * P95_FACTOR
+    slow99 = F.col("p99") > F.col("base_p99") * P99_FACTOR
+    return seen.filter(slow95 | slow99)
+
+
 def heartbeat_gaps(
     beats: DataFrame, by: Sequence[str], ts: str = "ts", tie: str = "event_id", seconds: int = HEARTBEAT_SECONDS,
 ) -> DataFrame:

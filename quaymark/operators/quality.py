@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
+from ..sources import files
+
 VALIDATION_SCHEMA = T.StructType(
     [
         T.StructField("is_valid", T.BooleanType()),
@@ -65,6 +70,41 @@ def profile(df: DataFrame, wide: bool = False) -> DataFrame:
     )
 
 
+def extended_profile(rows: DataFrame, base: str, part: str) -> DataFrame:
+    """Profile of all partitions so far, after adding one: the row of `profile` over all their rows, reading only new ones.
+
+    Kept at `base` are the totals and one digest per distinct row. A partition's rows become digests with their copies and
+    null marks; digests that are not there yet are written as one more file set, and the text that names the file sets
+    and totals is replaced in one step. A partition that is there already is not added again. One run at a time extends a
+    profile, and all partitions have the same columns.
+    """
+    spark, base = rows.sparkSession, base.rstrip("/")
+    text = files.read_text(spark, f"{base}/PROFILE")
+    known = json.loads(text) if text else {"columns": rows.columns, "rows": 0, "distinct": 0, "nulls": dict.fromkeys(rows.columns, 0), "parts": {}}
+    if known["columns"] != rows.columns:
+        raise ValueError(f"the profile is of the columns {known['columns']}")
+    if part not in known["parts"]:
+        marks = [F.col(c).isNull().alias(f"null_{i}") for i, c in enumerate(rows.columns)]
+        digests = rows.select(F.unhex(row_digest(rows.columns)).alias("digest"), *marks).groupBy("digest")
+        # rows of one digest are equal, and so are their marks
+        counted = stage(digests.agg(F.count(F.lit(1)).alias("copies"), *[F.max(f"null_{i}").alias(f"null_{i}") for i in range(len(marks))]), "counted")
+        nulls = [F.coalesce(F.sum(F.when(F.col(f"null_{i}"), F.col("copies"))), F.lit(0)) for i in range(len(marks))]
+        total, *null_totals = counted.agg(F.coalesce(F.sum("copies"), F.lit(0)), *nulls).first()
+        old = [p for p in known["parts"].values() if p]
+        new = counted.select("digest")
+        if old:
+            new = new.join(spark.read.schema("digest binary").parquet(*old), "digest", "left_anti")
+        path = f"{base}/digests/{uuid.uuid4().hex}"
+        new.write.parquet(path)
+        known["rows"] += total
+        known["distinct"] += spark.read.schema("digest binary").parquet(path).count()
+        known["nulls"] = {c: known["nulls"][c] + n for c, n in zip(rows.columns, null_totals)}
+        known["parts"][part] = path
+        files.replace_text(spark, f"{base}/PROFILE", json.dumps(known))
+    row = (known["rows"], known["rows"] - known["distinct"], known["nulls"])
+    return spark.createDataFrame([row], "row_count long, duplicate_count long, null_details map<string, long>")
+
+
 def schema_problems(df: DataFrame, expected: T.StructType | None) -> list[str]:
     """Differences between a frame and the schema it should have."""
     if not df.columns:

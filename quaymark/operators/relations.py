@@ -50,3 +50,17 @@ def with_shares(df: DataFrame, names: Mapping[str, str], places: int = 2) -> Dat
     held = stage(df, "shares")
     totals = held.agg(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()
     return held.withColumns({n: percent(F.col(c), totals[c], places) for c, n in names.items()})
+
+
+def distinct_counts(df: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
+    """Distinct values of several columns per key: name -> column.
+
+    Each column's values are made distinct on their own, partly before the shuffle, so rows are not multiplied by the
+    number of columns. Nulls are not counted; a key without values counts zero.
+    """
+    out = None
+    for name, column in columns.items():
+        values = df.select(key, column).distinct().groupBy(key).agg(F.count(column).alias(name))
+        renamed = values.withColumnRenamed(key, "_key")
+        out = values if out is None else out.join(renamed, out[key].eqNullSafe(renamed["_key"])).drop("_key")
+    return out
