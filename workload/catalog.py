@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymark.functions import hashing, money, rules, text, times
-from quaymark.operators import behaviour, cleaning, keys, logs, metrics, ordered, quality, relations
-from quaymark.plans import gold, layers, records, silver
+from quaymark.operators import behaviour, cleaning, keys, logs, metrics, ordered, quality, relations, sketches, tiles
+from quaymark.plans import gold, graph, layers, records, silver, warehouse
 from quaymark.session import new_folder, stage
-from quaymark.sources import readers, writers
-from quaymark.streaming import flows
+from quaymark.sources import readers, versions, writers
+from quaymark.streaming import flows, log_records
 
 from .bindings import LINE_ORDER, Tables
 
@@ -70,7 +72,7 @@ def sink_csv_texts(t: Tables) -> DataFrame:
     staged, target = writers.write_csv(sent, new_folder(t.spark, "csv"), "bronze", "documents"), new_folder(t.spark, "published")
     plain = writers.as_text(sent)
     writers.publish(t.spark, plain, staged, target, "csv", plain.schema, **writers.CSV_OPTIONS)
-    return readers.read_path(t.spark, target, "csv", sent.schema, **writers.CSV_OPTIONS).withColumn("text_md5", F.md5("text")).drop("text")
+    return versions.read_current(t.spark, target, "csv", sent.schema, **writers.CSV_OPTIONS).withColumn("text_md5", F.md5("text")).drop("text")
 
 
 @query
@@ -93,7 +95,22 @@ def sink_verified_publish(t: Tables) -> DataFrame:
     staged = writers.write_path(sent, new_folder(t.spark, "staged"))
     target = new_folder(t.spark, "published")
     writers.publish(t.spark, sent, staged, target, "parquet", sent.schema)
-    return readers.read_path(t.spark, target, schema=sent.schema)
+    return versions.read_current(t.spark, target, "parquet", sent.schema)
+
+
+@query
+def sink_rolled_back(t: Tables) -> DataFrame:
+    """A first version, a second one that is taken back, and a damaged third one that never becomes current."""
+    target, first = new_folder(t.spark, "published"), t["b_payments"]
+    versions.publish(t.spark, first, first, target, "parquet", first.schema)
+    second = first.withColumn("payment_status", F.lit("CHANGED"))
+    versions.publish(t.spark, second, second, target, "parquet", first.schema)
+    versions.rollback(t.spark, target)
+    try:
+        versions.publish(t.spark, first, second, target, "parquet", first.schema)
+    except versions.PublishError:
+        return versions.read_current(t.spark, target, "parquet", first.schema)
+    raise AssertionError("a copy that differs was published")
 
 
 def _gold_jobs(t: Tables) -> dict[str, Callable[[], layers.Outcome]]:
@@ -117,6 +134,55 @@ def run_layer_summary(t: Tables) -> DataFrame:
     return summary.select("table_name", "status", "row_count")
 
 
+RAW = (
+    "users", "brands", "categories", "employees", "products", "subsidiaries", "sub_products", "program_sales", "orders",
+    "order_items", "payments", "carts", "cart_items", "user_behaviors",
+)
+CITIES = {"danang": "NATION_1", "hanoi": "NATION_2", "hcm": "NATION_3"}
+
+
+def warehouse_tables(t: Tables) -> list[warehouse.Table]:
+    raw = {name: t[f"r_{name}"] for name in RAW} | {"addresses": t["addresses"]}
+    return graph.warehouse(raw, as_of(), F.lit("2023-12-31").cast("date"), "shop.example", PHOTOS, CITIES)
+
+
+@contextmanager
+def _database(t: Tables) -> Iterator[str]:
+    name = _table("shop")
+    t.spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(t.spark, 'database')}'")
+    try:
+        yield name
+    finally:
+        t.spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@query
+def run_warehouse(t: Tables) -> DataFrame:
+    """All tables of the three layers, each built once from the ones before it, and whether the catalog lists them."""
+    with _database(t) as database:
+        run = warehouse.Run(t.spark, new_folder(t.spark, "warehouse"), "first", CATALOG, database)
+        summary = warehouse.run_layers(run, warehouse_tables(t))
+        listed = F.concat_ws("_", "layer", "table_name").isin(run.listed())
+        return summary.select("layer", "table_name", "status", "row_count", "quarantined", listed.alias("listed"))
+
+
+@query
+def run_stopped_and_resumed(t: Tables) -> DataFrame:
+    """A silver table fails, so nothing after it runs; started again, the run keeps what is committed."""
+    names = ("brands", "categories", "sub_products", "products", "subsidiaries", "program_sales")
+    tables = [x for x in warehouse_tables(t) if x.layer in ("bronze", "silver") and x.name in names]
+    tables += [x for x in warehouse_tables(t) if x.full_name in ("gold.category_metrix", "gold.category_status")]
+
+    def refuse(run: warehouse.Run) -> DataFrame:
+        raise ValueError("no products today")
+
+    broken = [replace(x, build=refuse) if x.full_name == "silver.products" else x for x in tables]
+    run = warehouse.Run(t.spark, new_folder(t.spark, "warehouse"), "again")
+    attempts = [warehouse.run_layers(run, chosen, workers=1, raise_at_end=False) for chosen in (broken, tables)]
+    first, second = (a.select(F.lit(i).alias("attempt"), "layer", "table_name", "status", "row_count", "resumed", "error") for i, a in enumerate(attempts, 1))
+    return first.unionByName(second)
+
+
 # ---------------------------------------------------------------- projections, filters, cleaning
 
 
@@ -360,9 +426,7 @@ def agg_basic(t: Tables) -> DataFrame:
 
 @query
 def agg_count_distinct(t: Tables) -> DataFrame:
-    return t["b_items"].groupBy("subsidiary_id").agg(
-        F.count_distinct("product_id").alias("products"), F.count_distinct("order_id").alias("orders")
-    )
+    return relations.distinct_counts(t["b_items"], "subsidiary_id", {"products": "product_id", "orders": "order_id"})
 
 
 @query
@@ -442,6 +506,17 @@ def key_dense_surrogate(t: Tables) -> DataFrame:
     return keys.dense_keys(users.select("user_id", "identity"), ["identity"], "cus_seq")
 
 
+@query
+def key_stable_surrogate(t: Tables) -> DataFrame:
+    """Keys given to the users who have ordered, then to all: the first keys stay, and a third run adds none."""
+    users = t["r_users"].withColumn("identity", text.identity(F.col("user_email"), F.col("user_phone"))).select("user_id", "identity")
+    buyers = t["r_orders"].select(F.trim("user_id").alias("user_id"))
+    base = new_folder(t.spark, "keys")
+    keys.stable_keys(relations.known_rows(users, buyers, "user_id"), ["identity"], "cus_seq", base)
+    keys.stable_keys(users, ["identity"], "cus_seq", base)
+    return keys.stable_keys(users, ["identity"], "cus_seq", base)
+
+
 @query
 def key_global_row_number(t: Tables) -> DataFrame:
     reviews = t["b_reviews"].select("review_id", "order_id")
@@ -451,8 +526,7 @@ def key_global_row_number(t: Tables) -> DataFrame:
 @query
 def win_ntile_scores(t: Tables) -> DataFrame:
     spent = t["b_orders"].groupBy("acc_id").agg(F.sum("total_amount").alias("spent"))
-    scored = keys.ntile(spent, ["spent", "acc_id"], 5, "quintile")
-    return keys.ntile(scored, ["spent", "acc_id"], 7, "septile")
+    return tiles.with_tiles(spent, "acc_id", {"quintile": ("spent", 5), "septile": ("spent", 7)})
 
 
 @query
@@ -710,6 +784,41 @@ def ts_latency_alerts(t: Tables) -> DataFrame:
     return _six_places(metrics.latency_alerts(t["b_metrics"]))
 
 
+@query
+def ts_moving_alerts(t: Tables) -> DataFrame:
+    """Days whose latency is far over the mean of the seven days before, from exact percentiles per day."""
+    daily = t["b_metrics"].withColumn("window_start", F.window("ts", "1 day")["start"])
+    levels = metrics.percentiles(daily, ["measurement", "window_start"], at=(0.95, 0.99))
+    return _six_places(metrics.moving_alerts(levels, ["measurement"]))
+
+
+def _within_bounds(t: Tables, stored: DataFrame, every: str) -> DataFrame:
+    """Each merged window with its exact sample count, and whether its quantiles and distinct count keep their bounds."""
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    read = sketches.read_sketches(stored, names)
+    raw = t["b_metrics"].withColumn("window_start", F.window("ts", every)["start"])
+    joined = raw.join(read.select("window_start", "measurement", *names, "distinct_keys", "samples"), ["window_start", "measurement"])
+    value, share = F.col("value"), sketches.RANK_ERROR
+    counts = [F.first("samples").alias("samples"), F.first("distinct_keys").alias("_distinct"), F.count("value").alias("_n"), F.count_distinct("event_id").alias("_events")]
+    for name in names:
+        counts += [F.count_if(value < F.col(name)).alias(f"_below_{name}"), F.count_if(value <= F.col(name)).alias(f"_upto_{name}")]
+    found = joined.groupBy("window_start", "measurement").agg(*counts)
+    within = F.lit(True)
+    for name, at in names.items():
+        within = within & (F.col(f"_below_{name}") <= (at + share) * F.col("_n") + 1) & (F.col(f"_upto_{name}") >= (at - share) * F.col("_n") - 1)
+    near = F.abs(F.col("_distinct") - F.col("_events")) <= 4 * sketches.DISTINCT_ERROR * F.col("_events") + 1
+    return found.select(F.lit(every).alias("every"), "window_start", "measurement", "samples", within.alias("within"), near.alias("distinct_within"))
+
+
+@query
+def ts_sketch_rollup(t: Tables) -> DataFrame:
+    """Sketches of five minutes, stored; hours merged from them and days from the hours, against exact ranks."""
+    stored = stage(sketches.window_sketches(t["b_metrics"], "5 minutes", ["measurement"], "event_id"), "sketches")
+    hours = stage(sketches.merged(stored, "1 hour", ["measurement"]), "sketches")
+    days = sketches.merged(hours, "1 day", ["measurement"])
+    return _within_bounds(t, hours, "1 hour").unionByName(_within_bounds(t, days, "1 day"))
+
+
 @query
 def ts_heartbeat_gaps(t: Tables) -> DataFrame:
     return metrics.heartbeat_gaps(t["b_metrics"], ["measurement"])
@@ -755,12 +864,70 @@ def stream_tumbling_agg(t: Tables) -> DataFrame:
     return _run_stream(t, lambda s: flows.window_totals(s, "5 minutes", ["event_type"]), whole=True)
 
 
+@query
+def stream_sketch_rollup(t: Tables) -> DataFrame:
+    """Sketches of five minutes that a stream appends, merged into days by batch."""
+    def build(events: DataFrame) -> DataFrame:
+        samples = events.withColumn("measurement", F.concat(F.lit("app."), "event_type")).withWatermark("ts", flows.LATENESS)
+        return sketches.window_sketches(samples, "5 minutes", ["measurement"], "event_id")
+
+    stored = _run_stream(t, build, whole=True)
+    return _within_bounds(t, sketches.merged(stored, "1 day", ["measurement"]), "1 day")
+
+
 @query
 def stream_dedup(t: Tables) -> DataFrame:
     keep = ["event_id", "ts", "user_id"]
     return _run_stream(t, lambda s: flows.drop_repeats(s.select(*keep).unionAll(s.select(*keep)), ["event_id"]))
 
 
+#: Files the log lines are cut into for a stream; a record may be cut anywhere.
+CUTS = 4
+
+
+def _read_lines(t: Tables) -> DataFrame:
+    """Log lines with the time they were read, which a line takes from the event it comes from."""
+    times_read = t["events"].select((F.col("event_id") * 4).alias("_first"), F.col("ts").cast("timestamp").alias("read_at"))
+    lines = t["log_lines"].withColumn("_first", F.col("line_no") - F.col("line_no") % 4)
+    return lines.join(times_read, "_first").select("path", "line_no", "line", "read_at")
+
+
+def _line_stream(t: Tables) -> tuple[DataFrame, T.StructType]:
+    lines = _read_lines(t)
+    folder = log_records.cut(lines, F.col("line_no"), CUTS)
+    return flows.file_stream(t.spark, folder, lines.schema, files_per_batch=1), lines.schema
+
+
+@query
+def stream_log_lines(t: Tables) -> DataFrame:
+    source, _ = _line_stream(t)
+    stream, out = log_records.number_lines(source), new_folder(t.spark, "stream")
+    flows.run_available(stream, out, new_folder(t.spark, "offsets"))
+    return readers.read_path(t.spark, out, schema=stream.schema)
+
+
+@query
+def stream_log_records(t: Tables) -> DataFrame:
+    source, schema = _line_stream(t)
+    out, offsets, end = (new_folder(t.spark, n) for n in ("stream", "offsets", "closing"))
+    stream = log_records.gather_records(source.unionByName(flows.closing_stream(t.spark, end, schema)), flows.LATENESS)
+    flows.run_available(stream, out, offsets)
+    last = t["events"].agg(F.max("ts").cast("timestamp")).first()[0]
+    flows.close(t.spark, end, schema, "read_at", F.lit(last))
+    flows.run_available(stream, out, offsets)
+    return readers.read_path(t.spark, out, schema=stream.schema)
+
+
+@query
+def stream_log_routes(t: Tables) -> DataFrame:
+    """Fields and classes of the lines of a stream; lines that no pattern matches have a sink of their own."""
+    source, _ = _line_stream(t)
+    stream, out = log_records.routed(source.drop("read_at")), new_folder(t.spark, "routes")
+    log_records.run_routed(stream, out, new_folder(t.spark, "offsets"))
+    parts = [log_records.read_route(t.spark, out, r, stream.schema).withColumn("route", F.lit(r)) for r in (log_records.PARSED, log_records.FAILED)]
+    return parts[0].unionByName(parts[1]).withColumn("tags", F.array_join("tags", ","))
+
+
 # ---------------------------------------------------------------- silver
 
 
@@ -958,6 +1125,19 @@ def dq_bronze_report(t: Tables) -> DataFrame:
     return _flat(quality.bronze_report(t["r_users"]))
 
 
+@query
+def dq_incremental_profile(t: Tables) -> DataFrame:
+    """A profile that is extended by the lines of one return flag after the other, and by the first ones a second time."""
+    rows = t["lineitem"].drop("l_orderkey", "l_extendedprice", "l_partkey", "l_suppkey", "l_shipdate")
+    rows = rows.withColumn("l_tax", F.when(F.col("l_tax") != 0.03, F.col("l_tax")))
+    base = new_folder(t.spark, "profile")
+    flags = [r[0] for r in rows.select("l_returnflag").distinct().orderBy("l_returnflag").collect()]
+    for flag in [*flags, flags[0]]:
+        # the flag itself is left out, so that rows occur again in several parts
+        found = quality.extended_profile(rows.where(F.col("l_returnflag") == flag).drop("l_returnflag"), base, flag)
+    return found.select("row_count", "duplicate_count", F.col("null_details")["l_tax"].alias("null_tax"), F.col("null_details")["l_discount"].alias("null_discount"))
+
+
 @query
 def dq_silver_report(t: Tables) -> DataFrame:
     return _flat(quality.silver_report(t["documents"], wide=True))

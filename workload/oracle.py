@@ -308,6 +308,12 @@ O: dict[str, str] = {
     "o_scores": f"""
         SELECT product_id, count(*) AS review_count, CAST({ratio('sum(review_score)', 'count(*)')} AS FLOAT) AS avg_rating
         FROM {{b_reviews}} GROUP BY 1""",
+    "o_identities": """
+        SELECT user_id, concat_ws('_', coalesce(user_email, 'unknown'), coalesce(CAST(user_phone AS STRING), 'unknown'))
+               AS identity FROM {r_users}""",
+    "o_lines": """
+        SELECT * EXCLUDE (l_orderkey, l_extendedprice, l_partkey, l_suppkey, l_shipdate, l_returnflag)
+               REPLACE (CASE WHEN l_tax <> 0.03 THEN l_tax END AS l_tax) FROM {lineitem}""",
     "o_records": """
         SELECT *, sum(CASE WHEN line LIKE '[%' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY line_no
                ROWS UNBOUNDED PRECEDING) AS record_no FROM {log_lines}""",
@@ -458,6 +464,7 @@ ORACLES: dict[str, str] = {
         {dbl('total_shipfee')} AS total_shipfee) FROM {{b_orders}}""",
     "sink_table_roundtrip": ORDER_PERFORMANCE,
     "sink_verified_publish": f"SELECT * REPLACE ({dbl('payment_amount')} AS payment_amount) FROM {{b_payments}}",
+    "sink_rolled_back": f"SELECT * REPLACE ({dbl('payment_amount')} AS payment_amount) FROM {{b_payments}}",
     "run_layer_summary": """
         SELECT 'category_status' AS table_name, 'SUCCESS' AS status, count(DISTINCT category_id) AS row_count FROM {b_products}
         UNION ALL SELECT 'customer_top_city', 'SUCCESS', count(DISTINCT city) FROM {b_customers}
@@ -565,9 +572,11 @@ ORACLES: dict[str, str] = {
                      count(*) FILTER (event_type = 'checkout') OVER w AS checkouts
               FROM ({_PLAIN_EVENTS}) e WINDOW w AS (PARTITION BY acc_id, day ORDER BY event_time, event_id
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) x""",
-    "key_dense_surrogate": """SELECT user_id, identity, dense_rank() OVER (ORDER BY identity) AS cus_seq
-        FROM (SELECT user_id, concat_ws('_', coalesce(user_email, 'unknown'), coalesce(CAST(user_phone AS STRING), 'unknown'))
-              AS identity FROM {r_users}) t""",
+    "key_dense_surrogate": """SELECT user_id, identity, dense_rank() OVER (ORDER BY identity) AS cus_seq FROM {o_identities}""",
+    "key_stable_surrogate": """SELECT user_id, identity, CAST(cus_seq AS BIGINT) AS cus_seq FROM (
+        SELECT identity, row_number() OVER (ORDER BY NOT early, identity) AS cus_seq
+        FROM (SELECT identity, bool_or(user_id IN (SELECT trim(user_id) FROM {r_orders})) AS early FROM {o_identities} GROUP BY 1) a) b
+        JOIN {o_identities} USING (identity)""",
     "key_global_row_number": """SELECT review_id, order_id, row_number() OVER (ORDER BY order_id, review_id) AS row_no,
         count(*) OVER () AS row_total FROM {b_reviews}""",
     "win_ntile_scores": f"""SELECT acc_id, {dbl('spent')} AS spent, CAST(ntile(5) OVER (ORDER BY spent, acc_id) AS INT) AS quintile,
@@ -623,6 +632,10 @@ ORACLES: dict[str, str] = {
         row_number() OVER (PARTITION BY path, record_no ORDER BY line_no) AS line_in_record FROM {o_records}""",
     "log_record_texts": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, min(line_no) AS first_line, count(*) AS lines,
         string_agg(line, chr(10) ORDER BY line_no) AS message FROM {o_records} GROUP BY 1, 2""",
+    "stream_log_lines": r"""SELECT path, line_no, line, CAST(record_no AS BIGINT) AS record_no,
+        row_number() OVER (PARTITION BY path, record_no ORDER BY line_no) AS line_in_record FROM {o_records}""",
+    "stream_log_records": r"""SELECT path, CAST(record_no AS BIGINT) AS record_no, min(line_no) AS first_line, count(*) AS lines,
+        string_agg(line, chr(10) ORDER BY line_no) AS message FROM {o_records} GROUP BY 1, 2""",
     "log_structure_lines": f"""SELECT path, line_no, line,
         try_strptime(CASE WHEN ok THEN replace(replace(f['stamp'], 'T', ' '), ',', '.') END, '%Y-%m-%d %H:%M:%S.%g') AS logged_at,
         CASE WHEN ok THEN f['source_file'] END AS source_file, CASE WHEN ok THEN lower(f['log_level']) END AS log_level,
@@ -668,6 +681,16 @@ ORACLES: dict[str, str] = {
         SELECT measurement, {_bucketed('1 day')} AS window_start, count(*) AS samples, quantile_cont(value, 0.95) AS p95,
                quantile_cont(value, 0.99) AS p99 FROM {{b_metrics}} GROUP BY 1, 2) t
         WINDOW w AS (PARTITION BY measurement ORDER BY window_start)) x WHERE p95 > base_p95 * 2 OR p99 > base_p99 * 5""",
+    "ts_moving_alerts": f"""SELECT measurement, window_start, samples, {', '.join(f"{half_up(c, 6)} AS {c}" for c in ('p95', 'p99', 'base_p95', 'base_p99'))}, base_windows
+        FROM (SELECT *, avg(p95) OVER w AS base_p95, avg(p99) OVER w AS base_p99, count(p95) OVER w AS base_windows FROM (
+        SELECT measurement, {_bucketed('1 day')} AS window_start, count(*) AS samples, quantile_cont(value, 0.95) AS p95,
+               quantile_cont(value, 0.99) AS p99 FROM {{b_metrics}} GROUP BY 1, 2) t
+        WINDOW w AS (PARTITION BY measurement ORDER BY window_start RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND INTERVAL 1 SECOND PRECEDING)) x
+        WHERE p95 > base_p95 * 2 OR p99 > base_p99 * 5""",
+    "ts_sketch_rollup": " UNION ALL ".join(f"""SELECT '{every}' AS every, {_bucketed(every)} AS window_start, measurement, count(value) AS samples,
+        true AS within, true AS distinct_within FROM {{b_metrics}} WHERE value IS NOT NULL GROUP BY ALL""" for every in ("1 hour", "1 day")),
+    "stream_sketch_rollup": f"""SELECT '1 day' AS every, {_bucketed('1 day')} AS window_start, measurement, count(value) AS samples,
+        true AS within, true AS distinct_within FROM {{b_metrics}} WHERE value IS NOT NULL GROUP BY ALL""",
     "ts_heartbeat_gaps": """SELECT measurement, prev AS gap_start, ts AS gap_end,
         CAST(epoch_us(ts) - epoch_us(prev) AS DOUBLE) / 1000000.0 AS gap_seconds
         FROM (SELECT *, lag(ts) OVER (PARTITION BY measurement ORDER BY ts, event_id) AS prev FROM {b_metrics}) t
@@ -878,6 +901,8 @@ ORACLES: dict[str, str] = {
         {_profile_text(USER_COLUMNS, 'r_users', False)} AS null_details, true AS schema_valid, '' AS error_messages,
         concat_ws(',', 'nulls in ' || concat_ws(', ', CASE WHEN count(*) > count(user_email) THEN 'user_email' END,
             CASE WHEN count(*) > count(user_phone) THEN 'user_phone' END)) AS warning_messages FROM {{r_users}}""",
+    "dq_incremental_profile": """SELECT count(*) AS row_count, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {o_lines}) d) AS duplicate_count,
+        count(*) - count(l_tax) AS null_tax, count(*) - count(l_discount) AS null_discount FROM {o_lines}""",
     "dq_silver_report": f"""SELECT true AS is_valid, count(*) AS row_count, 5 AS column_count,
         count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {{documents}}) d) AS duplicate_count, CAST(0 AS BIGINT) AS null_count,
         {_profile_text(DOCUMENT_COLUMNS, 'documents', True)} AS null_details, true AS schema_valid, '' AS error_messages, '' AS warning_messages
@@ -925,6 +950,94 @@ ORACLES |= {
     "layer_gold": _GOLD_RECORD,
 }
 
+#: What gold reads in a run over all layers, by the binding that stands in for it elsewhere.
+_WRITTEN = {
+    "b_orders": "o_orders", "b_order_items": "o_order_items", "b_products": "o_products", "b_customers": "w_customers",
+    "b_brands": "w_brands", "b_categories": "w_categories", "b_subsidiaries": "r_subsidiaries",
+    "b_program_sales": "o_program_sales", "b_product_sales": "w_product_sales", "b_payments": "o_payments", "b_reviews": "w_reviews",
+    "o_customers": "w_customers", "o_reviews_b": "w_reviews",
+}
+O |= {
+    "w_customers": ORACLES["silver_customers"],
+    "w_brands": ORACLES["silver_brands"],
+    "w_categories": ORACLES["silver_categories"],
+    "w_product_sales": ORACLES["silver_product_sales"],
+    "w_reviews": f"SELECT *, review_no AS review_id, {SENTIMENT} AS review_sentiment, {off(0, 1, "'reply'", 'order_id', 'order_item_id')} = 0 AS has_reply, "
+                 f"{later('created_at', off(86400, 5 * 86400 - 1, "'replied'", 'order_id', 'order_item_id'))} AS replied_at FROM {{o_reviews}}",
+}
+ALL |= O
+
+
+def _on_written(text: str) -> str:
+    """A gold query's text, reading what silver wrote."""
+    for name in names_in(text):
+        if name in _WRITTEN:
+            text = text.replace(f"{{{name}}}", f"{{{_WRITTEN[name]}}}")
+        elif name in O and name not in _WRITTEN.values() and any(n in _WRITTEN for n in bindings_of(name)):
+            ALL[f"w_{name}"] = _on_written(O[name])
+            text = text.replace(f"{{{name}}}", f"{{w_{name}}}")
+    return text
+
+
+def bindings_of(name: str) -> list[str]:
+    seen: list[str] = []
+    _needed(ALL[name], seen)
+    return seen
+
+
+def _counted(layer: str, name: str, text: str, quarantined: str = "0", listed: bool = True) -> str:
+    return (f"SELECT '{layer}' AS layer, '{name}' AS table_name, 'SUCCESS' AS status, (SELECT count(*) FROM ({text}) t) AS row_count, "
+            f"CAST({quarantined} AS BIGINT) AS quarantined, {str(listed).lower()} AS listed")
+
+
+_RAW = ("users", "brands", "categories", "employees", "products", "subsidiaries", "sub_products", "program_sales", "orders",
+        "order_items", "payments", "carts", "cart_items", "user_behaviors")
+_GOLD = [n.removeprefix("gold_") for n in ORACLES if n.startswith("gold_") and not n.endswith("_exact")]
+_SILVER = {n.removeprefix("silver_"): text for n, text in ORACLES.items() if n.startswith("silver_")}
+_SILVER |= {n: f"SELECT * FROM {{o_{n}}}" for n in ("carts_base", "orders_base")}
+_REJECTED = "(SELECT count(*) FROM {o_judged} WHERE reasons <> '')"
+ORACLES["run_warehouse"] = " UNION ALL ".join([
+    *[_counted("bronze", n, f"SELECT * FROM {{r_{n}}}", listed=False) for n in _RAW],
+    _counted("bronze", "addresses", "SELECT * FROM {addresses}", listed=False),
+    *[_counted("silver", n, text, _REJECTED if n == "behaviors" else "0") for n, text in _SILVER.items()],
+    *[_counted("gold", n, _on_written(ORACLES[f"gold_{n}"])) for n in _GOLD],
+])
+
+_AGAIN = ("brands", "categories", "sub_products", "products", "subsidiaries", "program_sales")
+
+
+def _attempt(number: int, layer: str, name: str, text: str | None, status: str = "SUCCESS", error: str = "NULL", resumed: bool = False) -> str:
+    rows = f"(SELECT count(*) FROM ({text}) t)" if text else "CAST(NULL AS BIGINT)"
+    return (f"SELECT CAST({number} AS INT) AS attempt, '{layer}' AS layer, '{name}' AS table_name, '{status}' AS status, {rows} AS row_count, "
+            f"{str(resumed).lower()} AS resumed, CAST({error} AS VARCHAR) AS error")
+
+
+def _stopped_and_resumed() -> str:
+    parts = []
+    for number, fails in ((1, True), (2, False)):
+        parts += [_attempt(number, "bronze", n, f"SELECT * FROM {{r_{n}}}", resumed=not fails) for n in _AGAIN]
+        stopped = False
+        for n in ("brands", "categories", "sub_products", "products", "subsidiaries", "program_sales"):
+            if fails and n == "products":
+                parts.append(_attempt(number, "silver", n, None, "FAILED", "'no products today'"))
+                stopped = True
+            elif stopped:
+                parts.append(_attempt(number, "silver", n, None, "NOT RUN"))
+            else:
+                parts.append(_attempt(number, "silver", n, _SILVER[n], resumed=not fails and n in ("brands", "categories", "sub_products")))
+        for n in ("category_metrix", "category_status"):
+            text = _on_written(ORACLES[f"gold_{n}"])
+            parts.append(_attempt(number, "gold", n, None, "NOT RUN") if fails else _attempt(number, "gold", n, text))
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["run_stopped_and_resumed"] = _stopped_and_resumed()
+ORACLES["stream_log_routes"] = f"""SELECT *, CASE WHEN dag_id LIKE '%bronze%' THEN 'bronze' WHEN dag_id LIKE '%silver%' THEN 'silver'
+        WHEN dag_id LIKE '%gold%' THEN 'gold' WHEN dag_id LIKE '%master%' THEN 'orchestration' END AS layer,
+        CASE WHEN regexp_matches(log_message, '(?i)(error|exception|failed|traceback|fatal)') THEN 'high'
+             WHEN log_level = 'warning' THEN 'medium' ELSE 'low' END AS severity, CASE WHEN tags <> '' THEN 'failed' ELSE 'parsed' END AS route
+    FROM ({ORACLES['log_structure_lines']}) t WHERE NOT coalesce(log_message LIKE '%Heartbeat%' AND log_level = 'debug', false)"""
+
 
 def all_sql() -> dict[str, str]:
     return {name: complete(text) for name, text in ORACLES.items()}
