@@ -36,6 +36,8 @@ RADIUS = 3
 CHUNK = 1 << 20
 #: Fingerprints of a key that are compared at a time, and the share of fingerprints that tells which keys have more.
 TILE, SHARE = 2_048, 64
+#: One row in so many has to share a fingerprint for it to be sent to all tasks; so there are no more of them than that.
+HOT_SHARE = 1_000
 
 _random = np.random.Generator(np.random.PCG64(20_250_311))
 _VALUES = _random.integers(0, 2**64 - 1, (PIECE, 256), dtype=np.uint64, endpoint=True)
@@ -289,8 +291,16 @@ def near(marks: DataFrame, radius: int = RADIUS, tile: int = TILE, share: int =
 
 
 def with_near(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows with n_near: how many other rows have a fingerprint within the radius, equal ones included."""
-    equal = rows.groupBy("fingerprint").agg((F.count(F.lit(1)) - 1).alias("equal"))
+    """The rows with n_near: how many other rows have a fingerprint within the radius, equal ones included.
+
+    A fingerprint that more than one row in HOT_SHARE has is one of HOT_SHARE at most; those are sent to all tasks, so
+    their rows stay where they are. The others are joined by the fingerprint.
+    """
+    equal = rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows"))
     found = near(rows.select("fingerprint"), radius)
-    counts = equal.join(found, "fingerprint", "left").select("fingerprint", (F.col("equal") + F.coalesce("n_near", F.lit(0))).alias("n_near"))
-    return rows.join(counts, "fingerprint")
+    n_near = F.col("rows") - 1 + F.coalesce("n_near", F.lit(0))
+    counts = stage(equal.join(found, "fingerprint", "left").select("fingerprint", n_near.alias("n_near"), "rows"), "near")
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    hot = F.broadcast(counts.where(F.col("rows") * HOT_SHARE > total).drop("rows"))
+    others = rows.join(hot, "fingerprint", "left_anti").join(counts.drop("rows"), "fingerprint")
+    return others.unionByName(rows.join(hot, "fingerprint"))
