@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    conversations, exact_dedup, fingerprints, language_id, mixing, near_dedup, packing, quality, secrets, spelling,
-    substring_dedup, token_counts, vectors,
+    conversations, exact_dedup, fingerprints, language_id, mixing, near_dedup, oracles, packing, quality, secrets,
+    spelling, substring_dedup, token_counts, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,8 @@ QUERIES: dict[str, Query] = {q.__name__: q for q in (
 )}
 
 SQL: dict[str, str] = {
+    "op11_conversation_repair": oracles.CONVERSATIONS,
+    "op12_spelling_variants": oracles.SPELLING,
     "op9_source_mixing": mixing.oracle(),
     "op10_exact_dedup": """
         WITH d AS (

@@ -11,6 +11,7 @@ import pytest
 
 from quaymark.llm import conversations, queries
 from tests.conftest import SMALL
+from tools.check import compare, connect
 
 SPACE = " \t\n\x0b\x0c\r"
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -183,3 +184,7 @@ def test_repaired_rows_are_those_of_the_digest(spark, odd_rows):
 
 def test_no_conversations_give_no_rows(spark):
     assert conversations.audited(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_equal_to_its_sql(spark):
+    assert compare(spark, connect(SMALL), "op11_conversation_repair", SMALL) == ""

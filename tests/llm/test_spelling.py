@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 from quaymark.llm import queries, spelling
 from tests.conftest import SMALL
+from tools.check import compare, connect
 
 
 def brute_words(rows):
@@ -105,3 +106,7 @@ def test_odd_texts(spark, odd, none):
     assert found(spelling.variants(words)) == brute_variants(brute_words(rows))
     nothing = spelling.vocabulary(spelling.with_slips(spelling.runs(none)))
     assert spelling.variants(nothing).count() == 0
+
+
+def test_equal_to_its_sql(spark):
+    assert compare(spark, connect(SMALL), "op12_spelling_variants", SMALL) == ""
