@@ -34,7 +34,11 @@ def test_entry(spark):
     assert frame.count() > 0 and "avg_order_value" in frame.columns
 
 
-@pytest.mark.parametrize("name", NAMES)
+#: These have done their work in streams or runs when they return; what is left reads a file.
+READ_ONLY = ("run_warehouse", "run_stopped_and_resumed", "stream_log_lines", "stream_log_records", "stream_log_routes", "stream_sketch_rollup")
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in READ_ONLY])
 def test_plans(spark, name):
     plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct"):
