@@ -8,8 +8,8 @@ All texts of a slice and all languages are parsed in step: the automata are tabl
 parse by one letter. A text is parsed in segments of `SEGMENT` letters, all of them; no phrase crosses a
 segment's end, which costs every language one phrase at most.
 
-The sample is bounded: `SAMPLE_TEXTS` labelled texts of each language, `SAMPLE_LETTERS` letters of each. Labels
-serve nothing else. Cases: null texts and texts without letters are `und` with score 0; letters that no sample
+The sample is bounded: `SAMPLE_TEXTS` different labelled texts of each language, `SAMPLE_LETTERS` letters of each, in
+`SPANS` parts spread over the whole text. Labels serve nothing else. Cases: null texts and texts without letters are `und` with score 0; letters that no sample
 has are phrases of their own in every language; ties go to the language that sorts first; repeated rows give a
 row each; without labelled rows every text is `und`.
 """
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import key_and_text, slices
 
 SAMPLE_TEXTS, SAMPLE_LETTERS = 64, 500
+#: Parts that a longer text of the sample is taken in.
+SPANS = 10
 SEGMENT = 1024
 UNKNOWN = "und"
 
@@ -153,26 +155,39 @@ class Parser:
         return total
 
 
+def _spans(text: Column) -> Column:
+    """Parts of a text at even distances from its first to its last letter; all of it if it is short."""
+    fetched = 2 * SAMPLE_LETTERS // SPANS  # folding can shorten a part, so more is fetched
+    step = (F.length(text) - fetched) / (SPANS - 1)
+    parts = F.array(*[F.substring(text, (F.floor(step * i) + 1).cast("int"), F.lit(fetched)) for i in range(SPANS)])
+    return F.when(F.length(text) > 2 * SAMPLE_LETTERS, parts).otherwise(F.array(text))
+
+
 def training_sample(docs: DataFrame, usable: Column, key: str = "doc_id", text: str = "text", lang: str = "lang"):
-    """(language, texts) of the bounded sample, in a fixed order; `usable` tells the rows to learn from."""
-    narrow = docs.where(usable & F.col(f"`{lang}`").isNotNull() & F.col(f"`{text}`").isNotNull()).select(
-        F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{lang}`").alias("lang"),
-        F.xxhash64(F.col(f"`{key}`").cast("string"), F.length(f"`{text}`")).alias("_order"),
-    )
-    first = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    chosen = narrow.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= SAMPLE_TEXTS).select("doc_id", "lang")
+    """(language, parts of texts) of the bounded sample, in a fixed order; `usable` tells the rows to learn from.
+
+    Different texts with letters are drawn, copies count once. A text gives parts spread over all of it, so an opening
+    that many texts share is only some of what is learned.
+    """
+    whole = F.col(f"`{text}`").cast("string")
+    narrow = docs.where(usable & F.col(f"`{lang}`").isNotNull() & whole.rlike(r"\p{L}")).select(
+        F.col(f"`{lang}`").cast("string").alias("lang"), F.md5(whole).alias("digest"), F.col(f"`{key}`").cast("long").alias("doc_id")
+    )
+    each = narrow.groupBy("lang", "digest").agg(F.min("doc_id").alias("doc_id"))
+    first = Window.partitionBy("lang").orderBy("digest")
+    chosen = each.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= SAMPLE_TEXTS).drop("_n")
     texts = docs.select(
-        F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{lang}`").alias("lang"),
-        # folding can shorten a text a little, so somewhat more is fetched
-        F.substring(f"`{text}`", 1, 2 * SAMPLE_LETTERS).alias("text"),
+        F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.md5(whole).alias("digest"),
+        whole.alias("whole"),
     )
     # at most SAMPLE_TEXTS ids per language
-    rows = texts.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).distinct().collect()
+    same = texts["doc_id"].eqNullSafe(chosen["doc_id"]) & (texts["lang"] == chosen["lang"]) & (texts["digest"] == chosen["digest"])
+    rows = texts.join(F.broadcast(chosen), same, "left_semi").select("lang", "digest", _spans(F.col("whole")).alias("parts")).distinct().collect()
     sample: dict[str, list[str]] = {}
-    for _, language, words in sorted(map(tuple, rows)):
-        if part := folded(words)[:SAMPLE_LETTERS]:
-            sample.setdefault(language, []).append(part)
-    return tuple((language, tuple(parts[:SAMPLE_TEXTS])) for language, parts in sorted(sample.items()))
+    for language, _, parts in sorted(map(tuple, rows)):
+        most = SAMPLE_LETTERS // len(parts)
+        sample.setdefault(language, []).extend(part for part in (folded(p)[:most] for p in parts) if part)
+    return tuple((language, tuple(parts)) for language, parts in sorted(sample.items()))
 
 
 def identify(docs: DataFrame, sample, key: str = "doc_id", text: str = "text") -> DataFrame:

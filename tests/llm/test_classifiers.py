@@ -43,6 +43,31 @@ def test_language_of_held_out_rows(spark):
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_a_shared_opening_does_not_hide_the_language(spark):
+    """A line of over a thousand letters in front of every text that may be learned from, and none of the others."""
+    from pyspark.sql import functions as F
+
+    licence = "Permission is hereby granted free of charge to any person obtaining a copy of this work. " * 14
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    shared = docs.withColumn("text", F.when(language_id.held_out(), F.col("text")).otherwise(F.concat(F.lit(licence), "text")))
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    held = [r for r in language_id.language_id(shared).collect() if r.held_out]
+    assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_the_sample_is_of_different_texts_and_of_all_of_a_text(spark):
+    from pyspark.sql import functions as F
+
+    long = " ".join(f"{chr(97 + i % 26) * 3}{chr(97 + i // 26 % 26)}" for i in range(2_000))
+    rows = [(i, "copied text here", "en") for i in range(500)] + [(1_000, long, "en"), (1_001, "1 2 3", "en"), (1_002, " ", "en"), (1_003, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ((_, parts),) = language_id.training_sample(docs, F.lit(True))
+    bare = [p for p in parts if p != "copied text here"]
+    assert len(parts) - len(bare) == 1 and len(bare) == language_id.SPANS
+    assert sum(map(len, bare)) <= language_id.SAMPLE_LETTERS
+    assert bare[0].startswith(long[:20]) and long.rfind(bare[-1][4:20]) > 0.98 * len(long)
+
+
 def test_language_of_odd_rows(spark, odd, none):
     rows = language_id.language_id(odd).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
