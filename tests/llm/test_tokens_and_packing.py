@@ -35,6 +35,12 @@ def test_counts_and_ids_are_the_librarys(text):
     assert np.frombuffer(file.encode([text])[0], "<u4").tolist() == want
 
 
+def test_the_plain_engine_finds_the_same_words_in_latin_texts(file):
+    for a in map(chr, range(0x250)):
+        for text in (f"a{a}b {a}1{a}{a}' {a}{a}x", f"{a}\u00e9{a}2'{a}s it's{a}"):
+            assert file.find_latin(text) == file.find_words(text), repr(a)
+
+
 def test_merging_takes_the_leftmost_of_equal_ranks():
     assert merged_length(list("aaaaa"), {("a", "a"): 0, ("aa", "aa"): 1}) == 2
     assert merged_length(list("abc"), {}) == 3
