@@ -6,13 +6,14 @@ differs from the true one by at most |e1| |s2 q2| + |e2| |s1 q1| + |e1| |e2|, so
 rigorously which pairs may reach the threshold. Only those are recomputed in double precision, and only pairs
 found at or above the threshold are links.
 
-The vectors of a label are dealt into blocks, and one task takes one pair of blocks. It returns, per vector, how many
+The vectors of a label are dealt into blocks of one size, and one task takes one pair of blocks, so its memory doesn't grow
+with the label; how often a vector is sent does, as the comparisons themselves do. It returns, per vector, how many
 links it found and a spanning forest of them, never the pairs, so a dense group costs no more rows than a sparse
 one. Components come from alternating large-star and small-star over the forests.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components, and those without a label, link
-with nothing, not even their copies; vectors of different lengths are not compared; repeated ids are told apart
-while linking and share a row's values; an empty table gives none.
+with nothing, not even their copies; vectors of different lengths are not compared; finite components of any size are
+compared; each row of a repeated id counts by its own vector; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ from quaymark.session import stage
 
 from .components import components
 
-#: Vectors in a block on average, and the most blocks a label is dealt into.
-BLOCK_ROWS, MOST_BLOCKS = 1_024, 256
+#: Vectors in a block on average, however many a label has.
+BLOCK_ROWS = 2_048
 #: Rows of a block that are multiplied at once.
 TILE = 512
 #: Pairs recomputed at once.
@@ -70,11 +71,18 @@ class Forest:
                 parent[:] = parent[parent]
 
 
+def levelled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times the power of two that brings its largest component below one; no digit changes, no norm overflows."""
+    _, exponents = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponents[:, None])
+
+
 def link_block(left: np.ndarray, right: np.ndarray, same: bool, threshold: float):
     """Link pairs of two blocks of vectors in double precision; yields (places left, places right).
 
     Cosine in full precision is the dot product over the product of the norms.
     """
+    left, right = levelled(left), levelled(right)
     norm_l, norm_r = np.linalg.norm(left, axis=1), np.linalg.norm(right, axis=1)
     codes_l, scale_l, error_l, held_l = quantised(left / norm_l[:, None])
     codes_r, scale_r, error_r, held_r = quantised(right / norm_r[:, None])
@@ -104,7 +112,7 @@ def _pair_task(threshold: float):
         sides = [rows[rows["block"] == first]] + ([] if same else [rows[rows["block"] == second]])
         left, right = sides[0], sides[-1]
         both = pd.concat(sides)
-        ids, copies = both["rep"].to_numpy(np.int64), both["copies"].to_numpy(np.int64)
+        ids, copies = both["node"].to_numpy(np.int64), both["copies"].to_numpy(np.int64)
         links, forest = np.zeros(len(ids), np.int64), Forest(len(ids))
         if len(left) and len(right):
             x, y = (np.frombuffer(b"".join(s["raw"]), "<f8").reshape(len(s), -1) for s in (left, right))
@@ -118,7 +126,7 @@ def _pair_task(threshold: float):
         b = np.array([t[1] for t in forest.links], dtype=np.int64)
         return pd.DataFrame(
             {
-                "rep": np.concatenate([ids[met], ids[a]]),
+                "node": np.concatenate([ids[met], ids[a]]),
                 "links": np.concatenate([links[met], np.zeros(len(a), np.int64)]),
                 "other": pd.array([*[None] * len(met), *ids[b].tolist()], dtype="Int64"),
             }
@@ -127,19 +135,20 @@ def _pair_task(threshold: float):
     return work
 
 
-def _usable(rows: DataFrame) -> DataFrame:
-    """The vectors that can link: vec_id, label, raw (doubles as bytes), digest of label and vector."""
-    kept = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL")
+def _read(rows: DataFrame) -> DataFrame:
+    """Every row, its id not null: vec_id, label, raw (doubles as bytes), digest of label and vector; no raw and digest if it can't link."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            whole = [np.array([np.nan if x is None else x for x in v], dtype="<f8") for v in batch["embedding"]]
-            fine = [bool(v.size and np.isfinite(v).all() and v.any()) for v in whole]
-            # 0.0 and -0.0 are the same component
-            raw = [(v + 0.0).tobytes() for v, good in zip(whole, fine) if good]
-            yield batch.loc[fine, ["vec_id", "label"]].assign(raw=raw)
-
-    packed = kept.mapInPandas(work, "vec_id long, label string, raw binary")
+            raw = []
+            for label, vector in zip(batch["label"], batch["embedding"]):
+                v = np.array([np.nan if x is None else x for x in (() if vector is None else vector)], dtype="<f8")
+                fine = label is not None and v.size and np.isfinite(v).all() and v.any()
+                # 0.0 and -0.0 are the same component
+                raw.append((v + 0.0).tobytes() if fine else None)
+            yield batch[["vec_id", "label"]].assign(raw=raw)
+
+    packed = rows.mapInPandas(work, "vec_id long, label string, raw binary")
     return packed.withColumn("digest", F.sha2(F.concat("raw", F.lit("|").cast("binary"), F.col("label").cast("binary")), 256))
 
 
@@ -151,30 +160,32 @@ def near_duplicates(
         F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("embedding"),
         F.col(f"`{label}`").cast("string").alias("label"),
     )
-    usable = stage(_usable(narrow), "usable")
+    read = stage(_read(narrow.where("vec_id IS NOT NULL")), "usable")
+    usable = read.where("digest IS NOT NULL")
     first = F.min(F.struct("vec_id", "label", "raw"))
     reps = usable.groupBy("digest").agg(first.alias("_first"), F.count("*").alias("copies")).select(
         "digest", F.col("_first.vec_id").alias("rep"), F.col("_first.label").alias("label"), F.col("_first.raw").alias("raw"),
         F.octet_length("_first.raw").alias("width"), "copies",
     )
-    reps = stage(reps, "vectors")
-    blocks = F.least(F.ceil(F.count("*") / BLOCK_ROWS), F.lit(MOST_BLOCKS)).cast("int")
+    # one id may have unlike vectors, so the written rows get numbers of their own
+    reps = stage(reps.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    blocks = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
     dealt = reps.join(reps.groupBy("label", "width").agg(blocks.alias("blocks")), ["label", "width"])
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     pairs = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "label", "width", F.least("block", "_other").alias("first"), F.greatest("block", "_other").alias("second"),
-        "block", "rep", "copies", "raw",
+        "block", "node", "copies", "raw",
     )
-    links = pairs.groupBy("label", "width", "first", "second").applyInPandas(_pair_task(threshold), "rep long, links long, other long")
+    links = pairs.groupBy("label", "width", "first", "second").applyInPandas(_pair_task(threshold), "node long, links long, other long")
     found = stage(links, "found")
-    joined = components(found.where("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    counted = found.where("other IS NULL").groupBy("rep").agg(F.sum("links").alias("links"))
-    classes = reps.join(counted, "rep", "left").join(joined, reps["rep"] == joined["node"], "left").select(
-        "digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", reps["rep"]).alias("component_id"),
-    )
+    joined = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    counted = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
+    groups = joined.withColumnRenamed("component", "group")
+    placed = reps.select("digest", "rep", "node", "copies").join(counted, "node", "left").join(groups, "node", "left")
+    placed = stage(placed.withColumn("group", F.coalesce("group", "node")), "placed")
+    least = placed.groupBy("group").agg(F.min("rep").alias("component_id"))
+    classes = placed.join(least, "group").select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     members = usable.select("vec_id", "digest").join(classes, "digest").drop("digest")
-    met = members.select("vec_id").distinct()
-    alone = narrow.select("vec_id").join(met, narrow["vec_id"].eqNullSafe(met["vec_id"]), "left_anti")
-    lone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return members.unionByName(lone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    unusable = read.where("digest IS NULL").select("vec_id").unionByName(narrow.where("vec_id IS NULL").select("vec_id"))
+    alone = unusable.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return members.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

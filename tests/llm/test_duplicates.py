@@ -235,6 +235,27 @@ def test_vectors_of_odd_rows(spark):
     assert near_vectors(frame.where("false")) == {}
 
 
+def test_unlike_rows_of_one_id_count_by_their_own_vectors(spark):
+    from pyspark.sql import functions as F
+
+    one, two, far = [1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]
+    rows = [(1, one, 1), (1, two, 1), (1, one, None), (2, one, 1), (3, two, 1), (4, far, 1), (4, None, 1), (None, one, 1), (5, far, 2)]
+    frame = spark.createDataFrame(rows, VECTORS).withColumns({c: F.lit("other") for c in ("digest", "raw", "rep", "node", "group", "links", "copies")})
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(frame.repartition(3)).collect()), key=str)
+    assert got == sorted(
+        [(1, 1, 1), (1, 1, 1), (1, 0, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4), (4, 0, 4), (None, 0, None), (5, 0, 5)], key=str
+    )
+
+
+def test_huge_and_tiny_components_link(spark):
+    double = "vec_id long, embedding array<double>, label int"
+    rows = [(i, [s * x for x in v], 1) for i, (s, v) in enumerate(
+        (s, v) for s in (1e200, 1e-200, 1.0, 1e-310) for v in ([1.0, 0.5, 0.25], [1.0, 0.5001, 0.25], [-1.0, 0.5, 0.25]))]
+    got = near_vectors(spark.createDataFrame(rows, double))
+    assert all(got[i][0] == (3 if i % 3 == 2 else 7) for i, _, _ in rows)
+    assert {got[i][1] for i, _, _ in rows} == {0, 2}
+
+
 def test_dense_groups_and_several_blocks(spark, monkeypatch):
     random = np.random.default_rng(6)
     rows = []
