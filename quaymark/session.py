@@ -82,3 +82,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the copy behind a frame that `stage` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    found = df.inputFiles()
+    if found:
+        folder = found[0].rsplit("/", 1)[0]
+        if f"/{workspace(spark).rstrip('/').rsplit('/', 1)[-1]}/" not in folder:
+            raise ValueError(f"{folder} is not a staged copy")
+        remove_folder(spark, folder)

@@ -14,7 +14,7 @@ from quaymark.functions import hashing, money, rules, text, times
 from quaymark.operators import behaviour, cleaning, keys, logs, metrics, ordered, quality, relations, sketches, tiles
 from quaymark.plans import gold, graph, layers, records, silver, warehouse
 from quaymark.session import new_folder, stage
-from quaymark.sources import readers, versions, writers
+from quaymark.sources import clustered, readers, versions, writers
 from quaymark.streaming import flows, log_records
 
 from .bindings import LINE_ORDER, Tables
@@ -113,6 +113,16 @@ def sink_rolled_back(t: Tables) -> DataFrame:
     raise AssertionError("a copy that differs was published")
 
 
+@query
+def sink_clustered(t: Tables) -> DataFrame:
+    """All lines written by ship date; the lines of a quarter, read from the files that may hold them."""
+    lines, path = t["lineitem"].withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")), new_folder(t.spark, "clustered")
+    clustered.write_clustered(lines, path, "l_shipdate", ["l_orderkey", "l_linenumber"])
+    first, last = (F.lit(day).cast("timestamp") for day in ("1995-01-01", "1995-04-01"))
+    quarter = clustered.read_between(t.spark, path, "l_shipdate", lines.schema, first, last)
+    return quarter.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_extendedprice")
+
+
 def _gold_jobs(t: Tables) -> dict[str, Callable[[], layers.Outcome]]:
     queries = {
         "category_status": lambda: gold.category_status(t["b_products"], t["b_categories"]),

@@ -464,6 +464,8 @@ ORACLES: dict[str, str] = {
         {dbl('total_shipfee')} AS total_shipfee) FROM {{b_orders}}""",
     "sink_table_roundtrip": ORDER_PERFORMANCE,
     "sink_verified_publish": f"SELECT * REPLACE ({dbl('payment_amount')} AS payment_amount) FROM {{b_payments}}",
+    "sink_clustered": """SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_extendedprice FROM {lineitem}
+        WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1995-04-01'""",
     "sink_rolled_back": f"SELECT * REPLACE ({dbl('payment_amount')} AS payment_amount) FROM {{b_payments}}",
     "run_layer_summary": """
         SELECT 'category_status' AS table_name, 'SUCCESS' AS status, count(DISTINCT category_id) AS row_count FROM {b_products}
