@@ -11,8 +11,8 @@ fifth of the set and one more, so those that do, across components, are checked,
 change nothing and are never sought. At a similarity of 0.8, a pair misses all 40 bands of 5 with a probability of 1e-7.
 
 Cases: texts that are null or without words have an empty set and link with nothing; with fewer words than a
-shingle has, the whole sequence is the one shingle; repeated rows share a set; an empty table gives none; rows
-with a null id stay alone.
+shingle has, the whole sequence is the one shingle; repeated rows share a set, unlike rows of one id have their own
+and each counts for itself; an empty table gives none; rows with a null id stay alone.
 """
 
 from __future__ import annotations
@@ -92,15 +92,23 @@ def described(docs: DataFrame, width: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """rep, signature (one byte of each value) and set of the given documents."""
+    """rep, signature (one byte of each value) and set of the given documents (rep, digest, text).
+
+    A text that doesn't have the set of the digest is another one of the same id and left out.
+    """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [shingles(t or "", width) for t in batch["text"].to_pylist()]
-            short = [signature(f).astype(np.uint8).tobytes() for f in found]
+            reps, short, members = [], [], []
+            for rep, digest, text in zip(*(batch[c].to_pylist() for c in ("rep", "digest", "text"))):
+                found = shingles(text or "", width)
+                raw = found.tobytes()
+                if xxhash.xxh3_128_digest(raw) == digest:
+                    reps.append(rep)
+                    short.append(signature(found).astype(np.uint8).tobytes())
+                    members.append(raw)
             yield pa.RecordBatch.from_arrays(
-                [batch["rep"], pa.array(short, pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())],
-                ["rep", "signature", "members"],
+                [pa.array(reps, pa.int64()), pa.array(short, pa.binary()), pa.array(members, pa.binary())], ["rep", "signature", "members"]
             )
 
     return docs.mapInArrow(work, "rep long, signature binary, members binary")
@@ -214,16 +222,20 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_
     narrow = key_and_text(docs, key, text)
     rows = stage(described(narrow, width), "described")
     whole = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    least = F.min(F.struct("doc_id", "n_shingles", "keys")).alias("_f")
+    # one id may have unlike texts, so the written sets get numbers of their own
     reps = stage(
-        whole.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "keys")).alias("_f"))
-        .select("digest", F.col("_f.doc_id").alias("rep"), F.col("_f.n_shingles").alias("n_shingles"), F.col("_f.keys").alias("keys")),
+        whole.groupBy("digest").agg(least).select(
+            "digest", F.monotonically_increasing_id().alias("rep"), F.col("_f.doc_id").alias("first_id"),
+            F.col("_f.n_shingles").alias("n_shingles"), F.col("_f.keys").alias("keys"),
+        ),
         "sets",
     )
     every = reps.select(F.explode("keys").alias("band"), "rep", "n_shingles")
     shared = every.groupBy("band").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high")).where("_low <> _high")
     buckets = stage(every.join(shared.select("band"), "band", "left_semi"), "buckets")
-    met = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = narrow.join(met, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "text")
+    met = reps.join(buckets.select("rep").distinct(), "rep", "left_semi").select("rep", "digest", F.col("first_id").alias("doc_id"))
+    texts = narrow.join(met, "doc_id").select("rep", "digest", "text")
     sets = stage(full_sets(texts, width).dropDuplicates(["rep"]), "members")
     tried: list[DataFrame] = []
     found = None
@@ -245,7 +257,10 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_
             members = stage(_located(members.drop("component"), found), "located")
             if members.isEmpty():
                 break
-    placed = reps.join(found, reps["rep"] == found["node"], "left").select("digest", F.coalesce("component", "rep").alias("_class"))
+    placed = reps.join(found, reps["rep"] == found["node"], "left").select("digest", "first_id", F.coalesce("component", "rep").alias("_group"))
+    placed = stage(placed, "placed")
+    names = placed.groupBy("_group").agg(F.min("first_id").alias("_class"))
+    placed = placed.join(names, "_group").select("digest", "_class")
     return rows.join(placed, "digest", "left").select(
         "doc_id", "n_shingles", F.coalesce("_class", "doc_id").alias("component_id")
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

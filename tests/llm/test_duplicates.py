@@ -195,6 +195,19 @@ def test_components_of_random_graphs(spark, seed):
 # ---------------------------------------------------------------- vectors
 
 
+def test_unlike_texts_of_one_id_keep_their_own_links(spark):
+    words = [f"w{i}" for i in range(100)]
+    first, second = " ".join(words), " ".join(f"x{i}" for i in range(100))
+    near_second = " ".join([f"x{i}" for i in range(98)] + ["other", "end"])
+    rows = [(1, first), (1, second), (2, " ".join(words[:98] + ["a", "b"])), (3, near_second), (4, "alone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in near_dedup.classes(frame, width=2).collect())
+    # both texts of id 1 are in classes of that id; each class has the document that is near to it
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    later = spark.createDataFrame([(9 if i == 1 else i, t) for i, t in rows], "doc_id long, text string")
+    assert sorted((r.doc_id, r.component_id) for r in near_dedup.classes(later, width=2).collect()) == [(2, 2), (3, 3), (4, 4), (9, 2), (9, 3)]
+
+
 def brute_links(rows, threshold=0.93):
     ids = [r[0] for r in rows]
     links, found = dict.fromkeys(ids, 0), Sets(ids)
