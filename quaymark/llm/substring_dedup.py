@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quaymark.session import stage
+from quaymark.session import stage, unstage
 
 from .common import key_and_text, slices
 
@@ -231,6 +231,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     # a clash of ids would join texts with others' phrases, so the digest is compared as well
     texts = narrow.where("text IS NOT NULL").join(wanted.select("doc_id", "sha", "phrases", shard), "doc_id")
     candidates = stage(_matching(texts), "candidates")
+    for read in (named, wanted):
+        unstage(read)
     needed = stage(passages(windows(candidates)), "passages")
     pieces = cut(needed, candidates)
     left = candidates.select("shard", "doc_id", "sha", "text").groupBy("shard")
