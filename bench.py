@@ -22,7 +22,7 @@ OPERATORS = (
     "join_bucket_lookup", "agg_count_distinct", "agg_rollup_to_parent", "win_item_sequence", "win_keep_latest",
     "sessionize_events", "funnel_repair", "key_dense_surrogate", "key_global_row_number", "win_ntile_scores",
     "fn_text_clean", "fn_strip_diacritics", "fn_pricing", "log_assemble_records", "log_structure_lines",
-    "ts_tumbling_agg", "ts_percentiles", "ts_rate_non_negative", "stream_sessions", "stream_tumbling_agg",
+    "ts_tumbling_agg", "ts_percentiles", "ts_rate_non_negative", "stream_sessions", "stream_tumbling_agg", "run_warehouse",
 )
 
 
