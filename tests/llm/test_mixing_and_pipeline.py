@@ -14,7 +14,7 @@ from tools.check import compare, connect
 
 def test_every_operator_has_a_query():
     assert set(queries.QUERIES) <= set(entry.queries()) and set(queries.SQL) <= set(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
