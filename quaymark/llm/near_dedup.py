@@ -145,15 +145,18 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _located(buckets: DataFrame, found: DataFrame) -> DataFrame:
     """Members of buckets that hold several components."""
     placed = buckets.join(found, buckets["rep"] == found["node"], "left").select(
-        "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
+        "band", "rep", "first_id", "n_shingles", F.coalesce("component", "rep").alias("component")
     )
     mixed = placed.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
     return placed.join(mixed.select("band"), "band", "left_semi")
 
 
 def _pivots(members: DataFrame, percent: int, number: int) -> DataFrame:
-    """Pairs (a: pivot, b: member outside its component) of every bucket, with how many buckets name them."""
-    rank = F.lit(0) if number == 0 else F.xxhash64("rep", "band", F.lit(number))
+    """Pairs (a: pivot, b: member outside its component) of every bucket, with how many buckets name them.
+
+    The first pivots are the documents of least id: copies often come after what they were copied from.
+    """
+    rank = F.col("first_id") if number == 0 else F.xxhash64("rep", "band", F.lit(number))
     first = members.groupBy("band").agg(F.min(F.struct(rank.alias("_rank"), "rep", "component", "n_shingles")).alias("_p"))
     paired = members.join(first, "band").where((F.col("_p.component") != F.col("component")) & _near("n_shingles", "_p.n_shingles", percent))
     return paired.groupBy(F.col("_p.rep").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("named"))
@@ -231,7 +234,7 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_
         ),
         "sets",
     )
-    every = reps.select(F.explode("keys").alias("band"), "rep", "n_shingles")
+    every = reps.select(F.explode("keys").alias("band"), "rep", "first_id", "n_shingles")
     shared = every.groupBy("band").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high")).where("_low <> _high")
     buckets = stage(every.join(shared.select("band"), "band", "left_semi"), "buckets")
     met = reps.join(buckets.select("rep").distinct(), "rep", "left_semi").select("rep", "digest", F.col("first_id").alias("doc_id"))
