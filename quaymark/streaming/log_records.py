@@ -2,8 +2,8 @@
 
 A file's lines arrive in order but cut into micro-batches anywhere, so the record a line belongs to may have begun in an
 earlier one. A stateful processor per file carries the open record: its number and how many lines it has so far, or, to
-join a record's text, its lines. A record ends where the next one starts, or when the watermark has passed its last line
-by the idle time.
+join a record's text, its lines. A record ends where the next one starts, or when the watermark has moved on by the idle
+time since its last line came. Lines follow each other by number: one whose time lies behind the watermark counts too.
 
 Fields and classes are plain expressions; they are the batch operators, run on the stream. Each micro-batch is written
 once, split into folders by route and batch, and replaces what an earlier try of the same batch left there.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import logs
-from ..session import new_folder
+from ..session import new_folder, stage, unstage
 
 #: How long after its last line a record counts as ended, by the lines' times.
 IDLE_SECONDS = 600
@@ -95,7 +95,9 @@ class RecordGathering(StatefulProcessor):
                 record_no = int(number)
             self.open.appendList(lines)
         self.number.update((record_no,))
-        self._wait_until(int(found["read_at"].max().timestamp() * 1000) + self.idle_seconds * 1000)
+        # a file whose times lie behind the watermark is not silent: its wait begins at the watermark
+        last = max(int(found["read_at"].max().timestamp() * 1000), timerValues.getCurrentWatermarkInMs())
+        self._wait_until(last + self.idle_seconds * 1000)
 
     def _wait_until(self, millis: int) -> None:
         if self.timer.exists():
@@ -125,6 +127,8 @@ def number_lines(lines: DataFrame) -> DataFrame:
 def gather_records(lines: DataFrame, lateness: str, idle_seconds: int = IDLE_SECONDS) -> DataFrame:
     """The streaming form of `logs.record_texts`, for lines (path, line_no, line, read_at)."""
     timed = lines.select("path", "line_no", "line", "read_at").withWatermark("read_at", lateness)
+    # rows later than the watermark are dropped by the mark on its column; the sum has none, so no line is lost
+    timed = timed.withColumn("read_at", F.col("read_at") + F.expr("INTERVAL 0 SECONDS"))
     return timed.groupBy("path").transformWithStateInPandas(RecordGathering(idle_seconds), RECORDS, "Append", "EventTime")
 
 
@@ -160,15 +164,22 @@ def read_route(spark, out: str, route: str, schema) -> DataFrame:
     return spark.read.schema(type(schema)(kept)).parquet(f"{out}/route={route}").drop("batch")
 
 
-def cut(lines: DataFrame, order: Column, cuts: int) -> str:
-    """Lines written as files that a stream reads one after the other, in the order of a number."""
+def cut(lines: DataFrame, order: Column, cuts: int) -> Iterator[str]:
+    """Lines written in consecutive parts by ranges of a number, one more part each time the folder is yielded.
+
+    A part is written by all tasks and may have many files, so a stream takes it as one micro-batch: it is run on what is
+    there now before the next part is written.
+    """
     spark, folder = lines.sparkSession, new_folder(lines.sparkSession, "lines")
-    low, high = lines.agg(F.min(order), F.max(order)).first()
+    held = stage(lines, "uncut")
+    low, high = held.agg(F.min(order), F.max(order)).first()
     if low is None:
         lines.write.parquet(folder)
-        return folder
+        yield folder
+        return
     width = (high - low) // cuts + 1
     for i in range(cuts):
         within = (order >= low + i * width) & (order < low + (i + 1) * width)
-        lines.where(within).coalesce(1).write.mode("append").parquet(folder)
-    return folder
+        held.where(within).write.mode("append").parquet(folder)
+        yield folder
+    unstage(held)

@@ -150,3 +150,33 @@ def test_a_stream_goes_on_where_it_ended(spark, lines):
         flows.run_available(stream, out, offsets)
     want = logs.assemble_records(spark.createDataFrame(rows, SCHEMA).drop("read_at"))
     assert spark.read.parquet(out).select(*want.columns).exceptAll(want).isEmpty() and spark.read.parquet(out).count() == len(rows)
+
+
+def test_records_need_no_setting_of_the_session(spark, lines):
+    """Spark's default state provider has no column families; a session that kept it could not start these streams."""
+    rows, before = mixed(lines), spark.conf.get(flows.PROVIDER)
+    spark.conf.set(flows.PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        stream, out = log_records.number_lines(feed(spark, rows, [300])), new_folder(spark, "out")
+        flows.run_available(stream, out, new_folder(spark, "offsets"))
+        have, _ = gathered(spark, rows, [300])
+        assert spark.read.parquet(out).count() == len(rows) and have.count() > 0
+        assert spark.conf.get(flows.PROVIDER).endswith("HDFSBackedStateStoreProvider")
+    finally:
+        spark.conf.set(flows.PROVIDER, before)
+
+
+def test_lines_behind_the_watermark_are_kept(spark):
+    """A file whose times start again, as copied ones do, loses no line, and its open record is not cut."""
+    at = lambda s: START + timedelta(seconds=s)
+    rows = [("a", 1, "[one", at(50_000)), ("a", 2, "[two", at(50_001)), ("a", 3, "more", at(5)), ("a", 4, "still", at(6)), ("a", 5, "[x", at(7))]
+    have, _ = gathered(spark, rows[:4] + [(*rows[4][:3], at(50_002))], [2, 3, 4])
+    assert sorted((r.record_no, r.first_line, r.lines, r.message) for r in have.collect()) == [(1, 1, 1, "[one"), (2, 2, 3, "[two\nmore\nstill"), (3, 5, 1, "[x")]
+
+
+def test_parts_are_written_by_many_tasks(spark):
+    rows = spark.range(1000).withColumn("line_no", F.col("id")).repartition(4)
+    sizes = []
+    for folder in log_records.cut(rows, F.col("line_no"), 3):
+        sizes.append((spark.read.parquet(folder).count(), len(spark.read.parquet(folder).inputFiles())))
+    assert [n for n, _ in sizes] == [334, 668, 1000] and all(f > i for i, (_, f) in enumerate(sizes, 1))
