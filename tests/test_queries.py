@@ -53,3 +53,9 @@ def test_column_pruning_reaches_the_scan(spark):
     frame = entry.queries()["gold_customer_top_city"](spark, SMALL)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "c_acctbal" not in plan and "c_name" not in plan
+
+
+def test_sketches_are_one_per_key(spark):
+    """A sketch of some 3 KB for every pair of key and value is what the count of distinct values must not move."""
+    plan = entry.queries()["agg_approx_distinct"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[subsidiary_id#\d+L?, product_id#\d+L?\], functions=\[[^\]]*approx_count_distinct", plan)
