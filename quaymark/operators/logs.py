@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_match
 from ..functions.times import parse_time
-from .ordered import item_sequence, ordered
+from .ordered import ordered
 
 # The record pattern, the path pattern and the words that mean trouble.
 RECORD = r"\[(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}[.,]\d{3})\] \{([^}]*)\} ([A-Za-z]+) - (.*)"
@@ -26,7 +26,9 @@ def assemble_records(lines: DataFrame, path: str = "path", line_no: str = "line_
     rows = ordered(lines, [path], [line_no])
     starts = F.when(F.col(line).rlike(RECORD_START), 1).otherwise(0)
     marked = rows.done(rows.running_sum(rows.frame, starts, "record_no"))
-    return item_sequence(marked, [path, "record_no"], [line_no], "line_in_record")
+    # the marked lines are computed, so they are sliced at once and not counted first
+    places = ordered(marked, [path, "record_no"], [line_no])
+    return places.done(places.number(places.frame, "line_in_record"))
 
 
 def record_texts(assembled: DataFrame, path: str = "path", line_no: str = "line_no", line: str = "line") -> DataFrame:

@@ -160,3 +160,15 @@ def test_staged_rows_survive(spark):
     df = stage(spark.range(10).withColumn("r", F.rand()), "probe")
     assert df.collect() == df.collect()
     assert workspace(spark) in df.inputFiles()[0]
+
+
+@pytest.mark.parametrize("task_rows", [0, 150, 10_000])
+def test_item_sequence_of_small_and_large_keys(spark, task_rows):
+    """Keys of few rows move once and are not written; large ones are split; both give the same numbers."""
+    rows = skewed(seed=11)
+    out = ordered.item_sequence(frame(spark, rows), "k", ["t", "id"], "n", task_rows)
+    want = {row[0]: i for group in by_key(rows).values() for i, row in enumerate(group, 1)}
+    assert {r.id: r.n for r in out.collect()} == want and out.columns == ["id", "k", "t", "v", "n"]
+    if task_rows == 10_000:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "slices-" not in plan and "rangepartitioning" not in plan
