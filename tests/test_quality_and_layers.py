@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from quaymark.operators import cleaning, quality
 from quaymark.plans import layers, records
 from quaymark.session import new_folder
-from quaymark.sources import readers, writers
+from quaymark.sources import files, readers, writers
 
 SCHEMA = "a long, b string"
 
@@ -93,6 +93,12 @@ def test_bronze_layer(spark):
         layers.run_bronze(df.limit(0), new_folder(spark, "bronze"), "bronze", "things")
 
 
+def test_bronze_keeps_one_copy(spark):
+    base = new_folder(spark, "bronze")
+    done = layers.run_bronze(spark.createDataFrame([(1, "x"), (2, None)], SCHEMA), base, "bronze", "things")
+    assert done.path and done.staged is None and files.children(spark, f"{base}/staging/bronze/things") == []
+
+
 def test_texts_survive_the_publish(spark):
     texts = ["two\nlines", "", None, '"quoted", with comma', "  blanks  ", "\r\n", "back\\slash", "é 日本"]
     df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)

@@ -29,6 +29,20 @@ def test_a_failed_check_leaves_the_version_before_it(spark):
     assert files.children(spark, f"{base}/versions") == [first.name]
 
 
+def test_files_are_published_by_moving_them(spark):
+    base, one, staged = new_folder(spark, "published"), spark.range(100), new_folder(spark, "staged")
+    sent, seen = versions.observed(one)
+    sent.write.parquet(staged)
+    wrong = {**seen.get, "row_count": 99}
+    with pytest.raises(versions.PublishError):
+        versions.publish_files(spark, wrong, staged, base, "parquet", one.schema)
+    # a copy that differs stays where it is and is not read
+    assert files.exists(spark, staged) and versions.current(spark, base) is None and files.children(spark, f"{base}/versions") == []
+    done = versions.publish_files(spark, seen.get, staged, base, "parquet", one.schema)
+    assert done.row_count == 100 and read(spark, base, one) == list(range(100)) and not files.exists(spark, staged)
+    assert versions.damaged_files(spark, base, "parquet", one.schema).isEmpty()
+
+
 def test_nothing_is_read_before_the_first_publish(spark):
     base = new_folder(spark, "published")
     assert versions.current(spark, base) is None and versions.clean(spark, base) == []

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from quaymark.plans import gold, silver, warehouse
 from quaymark.plans.layers import LayerFailed
 from quaymark.plans.warehouse import Run, Table
-from quaymark.session import new_folder
-from quaymark.sources import readers
+from quaymark.session import new_folder, stage, workspace
+from quaymark.sources import files, readers
 from tests.conftest import SMALL
 from workload import catalog
 from workload.bindings import Tables
@@ -57,6 +57,21 @@ def test_needs_must_be_met(spark):
         run.read("bronze.a")
 
 
+def test_what_a_table_staged_is_deleted_when_it_is_committed(spark):
+    def build(run):
+        return stage(run.spark.range(5), "kept")
+
+    def broken(run):
+        stage(run.spark.range(5), "kept")
+        raise ValueError("broken")
+
+    run, outside = Run(spark, new_folder(spark, "w"), "one"), stage(spark.range(2), "kept")
+    before = files.children(spark, workspace(spark))
+    warehouse.run_layers(run, [Table("bronze", "a", build), Table("bronze", "b", broken)], raise_at_end=False)
+    assert run.read("bronze.a").count() == 5 and outside.count() == 2
+    assert [n for n in files.children(spark, workspace(spark)) if n not in before and n.startswith("kept")] == []
+
+
 def test_every_table_is_built_once_in_order_of_need(spark):
     log = []
     tables = [simple("silver", "c", "silver.b", "silver.a", log=log), simple("silver", "b", "silver.a", log=log), simple("silver", "a", log=log)]
