@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import key_number
+from ..session import stage
 from ..sources import files
 from .ordered import POS, SLICE, slice_rows
 
@@ -33,7 +34,8 @@ def number_rows(
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
         F.sum("_size").over(everything).alias("_all"),
     )
-    out = placed.join(starts, SLICE).withColumn(name, F.col("_start") + F.col(POS) + 1)
+    # starts are as few as the slices; without the hint their size is taken for the table's and all rows move again
+    out = placed.join(F.broadcast(starts), SLICE).withColumn(name, F.col("_start") + F.col(POS) + 1)
     if total:
         out = out.withColumn(total, F.col("_all"))
     return out.drop(SLICE, POS, "_start", "_all")
@@ -125,9 +127,11 @@ def bucket_lookup(
 ) -> DataFrame:
     """Give each row one row of another table, picked by a hash of the row's key.
 
-    The choices are numbered from 0 and joined on that number, so they may be a table of any size.
+    The choices are numbered from 0 and joined on that number, so they may be a table of any size. The numbered choices
+    are written, so that their size is known and few of them are sent to the rows, not the rows to them.
     """
     numbered = number_rows(choices, order, "_choice", "_choices").withColumn("_choice", F.col("_choice") - 1)
+    numbered = stage(numbered, "choices")
     size = numbered.agg(F.max("_choices")).scalar()
     seed = [F.lit(salt)] if salt else []
     slot = F.pmod(key_number(*seed, *[F.col(k) for k in key]), size)

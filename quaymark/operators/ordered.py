@@ -98,7 +98,8 @@ class OrderedRows:
         same = [F.col(SLICE) == F.col("_carry_slice")]
         same += [F.col(k).eqNullSafe(F.col(f"_carry_{k}")) for k in self.keys]
         helper = ["_carry_slice", *[f"_carry_{k}" for k in self.keys]]
-        return frame.join(renamed, same, "left").drop(*helper)
+        # at most two rows per slice
+        return frame.join(F.broadcast(renamed), same, "left").drop(*helper)
 
 
 def _mark_crossing(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,7 +109,7 @@ def _mark_crossing(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     starts = placed.filter(F.col(POS) == 0).select(*[F.col(k).alias(f"_start_{k}") for k in keys]).distinct()
     marks = starts.withColumn(CROSSES, F.lit(True))
     same = [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys]
-    marked = placed.join(marks, same, "left").drop(*[f"_start_{k}" for k in keys])
+    marked = placed.join(F.broadcast(marks), same, "left").drop(*[f"_start_{k}" for k in keys])
     return marked.withColumn(CROSSES, F.coalesce(CROSSES, F.lit(False)))
 
 
@@ -122,15 +123,17 @@ TASK_ROWS = 200_000
 
 
 def item_sequence(
-    df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], name: str, task_rows: int = TASK_ROWS
+    df: DataFrame, parent: str | Sequence[str], order: Sequence[str | Column], name: str, task_rows: int = TASK_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Number the rows of a parent from 1 in a total order.
 
     Rows are counted per parent first. Parents of few rows move once, to the task that sorts them; only the rows of
-    larger ones are written in slices. The large parents are fewer than the rows divided by `task_rows`.
+    larger ones are written in slices. The large parents are fewer than the rows divided by `task_rows`. `counted`: rows
+    with the same parents that are cheaper to count, if `df` is a join.
     """
     keys = [parent] if isinstance(parent, str) else list(parent)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
+    counts = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
     large = stage(counts.select(*[F.col(k).alias(f"_large_{k}") for k in keys]), "large")
 
     def numbered(rows: DataFrame) -> DataFrame:

@@ -296,7 +296,9 @@ def orders_base(raw: DataFrame, addresses: DataFrame) -> DataFrame:
     `addresses` has slot, target_street, target_district, target_city and is dealt out in turn.
     """
     known = cleaning.require(raw.withColumn("acc_id", text.account_id(F.trim("user_id"))), ["acc_id"])
-    dealt = round_robin(known, ["order_id"], addresses, "slot")
+    # what the table doesn't keep isn't dealt out either
+    kept = known.drop("total_order", "payment_id", "shipping_address", "user_id")
+    dealt = round_robin(kept, ["order_id"], addresses, "slot")
     # times are parsed after the rows are dealt out, which reads its input twice
     typed = dealt.withColumns(
         {
@@ -305,9 +307,7 @@ def orders_base(raw: DataFrame, addresses: DataFrame) -> DataFrame:
         }
     )
     status = rules.order_status(F.col("confirmed_at"), F.col("delivered_at"))
-    return typed.withColumn("order_status", status).drop(
-        "total_order", "payment_id", "shipping_address", "estimated_delivery_at", "user_id", "slot"
-    )
+    return typed.withColumn("order_status", status).drop("estimated_delivery_at", "slot")
 
 
 def order_items(
@@ -319,18 +319,7 @@ def order_items(
 ) -> DataFrame:
     """`orders` is orders_base, `campaigns` the silver program_sales table."""
     lines = raw.select("order_id", "product_id", F.col("product_quantity").alias("quantity"), *LINEAGE)
-    numbered = item_sequence(lines, "order_id", ["product_id", "quantity", *LINEAGE], "order_item_id")
-
-    branches = subsidiaries.select(
-        F.col("sub_id").alias("subsidiary_id"),
-        F.col("sub_city").alias("_branch_city"),
-        F.col("sub_district").alias("_branch_district"),
-    )
-    offers = campaigns.select("sale_id", F.col("discount_value").alias("_discount"))
-    key = ["order_id", "order_item_id"]
-    placed = bucket_lookup(numbered, key, branches, ["subsidiary_id"], salt="branch")
-    offered = bucket_lookup(placed, key, offers, ["sale_id"], salt="campaign")
-
+    # products are joined before the rows are numbered and heads right after, so lines move twice: by product, by order
     newest = [F.desc("product_version"), F.desc("updated_at"), F.asc("product_listprice")]
     current = latest_per_key(products, ["product_id"], newest).select(
         "product_id",
@@ -344,7 +333,19 @@ def order_items(
         F.col("target_city").alias("_city"),
         F.col("target_district").alias("_district"),
     )
-    joined = offered.join(current, "product_id", "left").join(heads, "order_id", "left")
+    known = lines.join(current, "product_id", "left")
+    order = ["product_id", "quantity", *LINEAGE]
+    numbered = item_sequence(known, "order_id", order, "order_item_id", counted=lines).join(heads, "order_id", "left")
+
+    branches = subsidiaries.select(
+        F.col("sub_id").alias("subsidiary_id"),
+        F.col("sub_city").alias("_branch_city"),
+        F.col("sub_district").alias("_branch_district"),
+    )
+    offers = campaigns.select("sale_id", F.col("discount_value").alias("_discount"))
+    key = ["order_id", "order_item_id"]
+    placed = bucket_lookup(numbered, key, branches, ["subsidiary_id"], salt="branch")
+    joined = bucket_lookup(placed, key, offers, ["sale_id"], salt="campaign")
 
     ids = [F.col(k) for k in key]
     on_sale = hashing.bucket(100, F.lit("sale"), *ids) < SALE_SHARE

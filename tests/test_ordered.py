@@ -115,6 +115,22 @@ def test_number_rows(spark):
     assert {r.total for r in out.select("total").distinct().collect()} == {len(rows)}
 
 
+def test_numbering_moves_rows_once_whatever_their_size(spark):
+    """Joins with one row per slice, or with few choices, don't move the rows."""
+    rows, before = frame(spark, skewed()), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        numbered = keys.number_rows(rows, ["t", "id"], "n")
+        plan = arranged(rows, ["k"])
+        summed = plan.running_sum(plan.frame, F.col("v"), "s")
+        for out in (numbered, summed):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    picked = keys.bucket_lookup(rows, ["id"], spark.range(20).withColumnRenamed("id", "c"), ["c"])
+    assert "SortMergeJoin" not in picked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_dense_keys(spark):
     rows = skewed(seed=13)
     out = keys.dense_keys(frame(spark, rows), ["k"], "d").collect()

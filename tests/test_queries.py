@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 from tests.conftest import SMALL
 from tools.check import compare, connect
 from workload import catalog, oracle
+from workload.bindings import Tables
 
 SQL = oracle.all_sql()
 NAMES = list(catalog.QUERIES)
@@ -59,3 +60,10 @@ def test_sketches_are_one_per_key(spark):
     """A sketch of some 3 KB for every pair of key and value is what the count of distinct values must not move."""
     plan = entry.queries()["agg_approx_distinct"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"keys=\[subsidiary_id#\d+L?, product_id#\d+L?\], functions=\[[^\]]*approx_count_distinct", plan)
+
+
+@pytest.mark.parametrize("name", ["silver_orders", "silver_payments"])
+def test_order_items_are_not_written_for_one_reader(spark, name):
+    t = Tables(spark, SMALL)
+    catalog.QUERIES[name](t)
+    assert not {"silver_order_items", "silver_orders"} & set(t.made)

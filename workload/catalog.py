@@ -973,8 +973,9 @@ SILVER: dict[str, Query] = {
         t["r_order_items"], _silver(t, "products"), _silver(t, "subsidiaries"), _silver(t, "orders_base"),
         _silver(t, "program_sales"),
     ),
-    "orders": lambda t: silver.orders(_silver(t, "orders_base"), _silver(t, "order_items")),
-    "payments": lambda t: silver.payments(_silver(t, "orders"), t["r_payments"], as_of()),
+    # order items for orders, and orders for payments, are read once and not written first
+    "orders": lambda t: silver.orders(_silver(t, "orders_base"), SILVER["order_items"](t)),
+    "payments": lambda t: silver.payments(SILVER["orders"](t), t["r_payments"], as_of()),
     "reviews": lambda t: silver.reviews(_silver(t, "order_items"), _silver(t, "orders"), as_of()),
     "product_sales": lambda t: silver.product_sales(_silver(t, "order_items")),
     "product_scores": lambda t: silver.product_scores(_silver(t, "reviews")),
