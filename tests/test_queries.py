@@ -67,3 +67,14 @@ def test_order_items_are_not_written_for_one_reader(spark, name):
     t = Tables(spark, SMALL)
     catalog.QUERIES[name](t)
     assert not {"silver_order_items", "silver_orders"} & set(t.made)
+
+
+def test_numbered_items_stay_with_their_order(spark):
+    """The rows of b_order_items, also where a part is unknown; sums per branch and order don't move them again."""
+    t = Tables(spark, SMALL)
+    t.made["part"] = t["part"].filter("p_partkey % 5 <> 0")
+    one, two = t["b_order_items"], t["b_numbered_items"]
+    assert one.columns == two.columns and one.count() == two.count()
+    assert one.exceptAll(two).isEmpty()
+    plan = catalog.QUERIES["gold_subsidiary_shipping_performance"](Tables(spark, SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(subsidiary_id#\d+L?, order_id", plan)

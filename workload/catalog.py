@@ -1115,7 +1115,7 @@ def gold_subsidiary_performance(t: Tables) -> DataFrame:
 
 @query
 def gold_subsidiary_shipping_performance(t: Tables) -> DataFrame:
-    return gold.subsidiary_shipping_performance(t["b_order_items"])
+    return gold.subsidiary_shipping_performance(t["b_numbered_items"])
 
 
 @query
