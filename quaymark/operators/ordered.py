@@ -120,6 +120,8 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -
 
 #: Rows of one key that a task sorts; larger keys are split over slices.
 TASK_ROWS = 200_000
+#: Parts that parents are dealt to for a first, coarse count.
+COARSE = 1 << 14
 
 
 def item_sequence(
@@ -128,25 +130,34 @@ def item_sequence(
 ) -> DataFrame:
     """Number the rows of a parent from 1 in a total order.
 
-    Rows are counted per parent first. Parents of few rows move once, to the task that sorts them; only the rows of
+    Rows are counted per bucket of parents first, and per parent only in buckets of more than `task_rows` rows, as no parent
+    has more rows than its bucket. Parents of few rows move once, to the task that sorts them; only the rows of
     larger ones are written in slices. The large parents are fewer than the rows divided by `task_rows`. `counted`: rows
     with the same parents that are cheaper to count, if `df` is a join.
     """
     keys = [parent] if isinstance(parent, str) else list(parent)
-    counts = (df if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
+    counted = df if counted is None else counted
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(COARSE))
+    coarse = counted.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
+    full = [r[0] for r in coarse.select("_bucket").collect()]
+    if not full:
+        return _numbered(df, keys, order, name)
+    counts = counted.filter(bucket.isin(full)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > task_rows)
     large = stage(counts.select(*[F.col(k).alias(f"_large_{k}") for k in keys]), "large")
 
-    def numbered(rows: DataFrame) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        return rows.withColumn(name, place.cast("bigint"))
-
     if large.isEmpty():
         unstage(large)
-        return numbered(df)
+        return _numbered(df, keys, order, name)
     same = [F.col(k).eqNullSafe(F.col(f"_large_{k}")) for k in keys]
     rows = ordered(df.join(F.broadcast(large), same, "left_semi"), keys, order)
     split = rows.done(rows.number(rows.frame, name))
-    return numbered(df.join(F.broadcast(large), same, "left_anti")).unionByName(split)
+    small = df.join(F.broadcast(large), same, "left_anti")
+    return _numbered(small, keys, order, name).unionByName(split)
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(name, place.cast("bigint"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:

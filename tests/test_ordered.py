@@ -131,6 +131,17 @@ def test_numbering_moves_rows_once_whatever_their_size(spark):
     assert "SortMergeJoin" not in picked._jdf.queryExecution().executedPlan().toString()
 
 
+def test_small_keys_are_counted_by_bucket(spark, monkeypatch):
+    """Counting keys moves a row per key and task; buckets are fewer, and tell that no key is large."""
+    grouped, plain = [], type(spark.range(1)).groupBy
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", lambda df, *columns: grouped.append(tuple(map(str, columns))) or plain(df, *columns))
+    rows = frame(spark, skewed())
+    assert ordered.item_sequence(rows, "id", ["t"], "n").filter("n <> 1").isEmpty()
+    assert ("id",) not in grouped
+    assert ordered.item_sequence(rows, "k", ["t", "id"], "n", 20).count() == rows.count()
+    assert ("k",) in grouped
+
+
 def test_dense_keys(spark):
     rows = skewed(seed=13)
     out = keys.dense_keys(frame(spark, rows), ["k"], "d").collect()
