@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaymark.session import stage, unstage
@@ -76,54 +76,77 @@ def named_phrases(hashes: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, sha (of the words joined by a space), size, and the phrases the windows name."""
+    """doc_id, n_words, sha (of the words joined by a space), and the phrases the windows name."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            counts, shas, sizes, phrases = [], [], [], []
+            counts, shas, phrases = [], [], []
             for text in batch["text"].to_pylist():
                 words = (text or "").encode().split()
-                joined = b" ".join(words)
                 counts.append(len(words))
-                shas.append(hashlib.sha256(joined).digest())
-                sizes.append(len(joined))
+                shas.append(hashlib.sha256(b" ".join(words)).digest())
                 phrases.append(np.unique(named_phrases(word_hashes(words))).view(np.int64) if len(words) >= WINDOW else [])
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array(c, k) for c, k in zip((counts, shas, sizes, phrases), kinds))],
-                ["doc_id", "n_words", "sha", "size", "phrases"],
+                [batch["doc_id"], *(pa.array(c, k) for c, k in zip((counts, shas, phrases), kinds))],
+                ["doc_id", "n_words", "sha", "phrases"],
             )
 
-    return docs.mapInArrow(work, "doc_id long, n_words long, sha binary, size long, phrases array<long>")
+    return docs.mapInArrow(work, "doc_id long, n_words long, sha binary, phrases array<long>")
+
+
+def chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, sha, size, text, phrases: the texts of a window or more whose id is in `wanted` (doc_id, phrases), each
+    text of an id once. The digest comes before the join, so that the join's own shuffle brings equal texts together."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = []
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                words = text.encode().split()
+                if len(words) >= WINDOW:
+                    joined = b" ".join(words)
+                    found.append((doc_id, hashlib.sha256(joined).digest(), len(joined), text))
+            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.string())
+            columns = zip(*found) if found else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "sha", "size", "text"])
+
+    digested = docs.where("text IS NOT NULL").mapInArrow(work, "doc_id long, sha binary, size long, text string")
+    return digested.join(wanted, "doc_id").dropDuplicates(["doc_id", "sha"])
 
 
 def windows(candidates: DataFrame) -> DataFrame:
-    """shard, doc_id, start and 128-bit digest of every window whose phrase recurs."""
+    """doc_id, start and 128-bit digest of every window whose phrase recurs."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            for shard, doc_id, text, phrases in zip(*(batch[c].to_pylist() for c in ("shard", "doc_id", "text", "phrases"))):
+            for doc_id, text, phrases in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "phrases"))):
                 hashes = word_hashes(text.encode().split())
                 starts = np.flatnonzero(np.isin(named_phrases(hashes), np.array(phrases, np.int64).view(np.uint64)))
                 high, low = runs_of(hashes, WINDOW, 23)[starts], runs_of(hashes, WINDOW, 47)[starts]
                 # a window that occurs again in its own document is named once, at its first place
                 _, first = np.unique(np.stack([high, low], axis=1), axis=0, return_index=True)
-                n = len(first)
+                first.sort()  # neighbours differ in few bytes beside their digests, which shuffles compress
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(n, shard, np.int64)), pa.array(np.full(n, doc_id, np.int64)),
-                        pa.array(starts[first].astype(np.int32)), pa.array(high[first].view(np.int64)), pa.array(low[first].view(np.int64)),
+                        pa.array(np.full(len(first), doc_id, np.int64)), pa.array(starts[first].astype(np.int32)),
+                        pa.array(high[first].view(np.int64)), pa.array(low[first].view(np.int64)),
                     ],
-                    ["shard", "doc_id", "start", "high", "low"],
+                    ["doc_id", "start", "high", "low"],
                 )
 
-    return candidates.mapInArrow(work, "shard long, doc_id long, start int, high long, low long")
+    return candidates.select("doc_id", "text", "phrases").mapInArrow(work, "doc_id long, start int, high long, low long")
+
+
+def shard_of(shards: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
 
 
-def passages(found: DataFrame) -> DataFrame:
+def passages(found: DataFrame, shards: int) -> DataFrame:
     """shard, source, low, high: runs of window starts in the least document that holds them, for each shard with a
-    later document that holds them too. A window has at most one row per shard when it meets its equals."""
-    own = found.groupBy("high", "low", "shard").agg(F.min(F.struct("doc_id", "start")).alias("_first"), F.max("doc_id").alias("_last"))
+    later document that holds them too. Windows move once, to their equals; there a window has one row per shard."""
+    met = found.repartition("high", "low").select("*", shard_of(shards))
+    own = met.groupBy("high", "low", "shard").agg(F.min(F.struct("doc_id", "start")).alias("_first"), F.max("doc_id").alias("_last"))
     first = F.min("_first").over(Window.partitionBy("high", "low"))
     needed = own.withColumn("_source", first).where(F.col("_source.doc_id") < F.col("_last")).select(
         "shard", F.col("_source.doc_id").alias("source"), F.col("_source.start").alias("start")
@@ -219,45 +242,24 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = stage(described(narrow), "described")
     first = rows.groupBy("sha").agg(F.min("doc_id").alias("_first"))
     heads = rows.join(first, "sha").where(F.col("doc_id") == F.col("_first")).where(F.col("n_words") >= WINDOW)
-    named = stage(heads.select("doc_id", "sha", "size", F.explode("phrases").alias("phrase")).distinct(), "phrases")
+    named = stage(heads.select("doc_id", F.explode("phrases").alias("phrase")), "phrases")
     recurring = named.groupBy("phrase").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b")
-    wanted = stage(
-        named.join(recurring.select("phrase"), "phrase", "left_semi").groupBy("doc_id", "sha", "size")
-        .agg(F.collect_list("phrase").alias("phrases")),
-        "wanted",
-    )
-    shards = int((wanted.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES + 1)
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard")
-    # a clash of ids would join texts with others' phrases, so the digest is compared as well
-    texts = narrow.where("text IS NOT NULL").join(wanted.select("doc_id", "sha", "phrases", shard), "doc_id")
-    candidates = stage(_matching(texts), "candidates")
-    for read in (named, wanted):
-        unstage(read)
-    needed = stage(passages(windows(candidates)), "passages")
+    # unlike texts of one id share their phrases: each may name windows in vain, but loses none
+    wanted = named.join(recurring.select("phrase"), "phrase", "left_semi").groupBy("doc_id").agg(F.collect_list("phrase").alias("phrases"))
+    candidates = stage(chosen(narrow, wanted), "candidates")
+    unstage(named)
+    shards = int((candidates.agg(F.sum("size")).first()[0] or 0) // SHARD_BYTES + 1)
+    candidates = candidates.withColumn("shard", shard_of(shards))
+    needed = stage(passages(windows(candidates), shards), "passages")
     pieces = cut(needed, candidates)
     left = candidates.select("shard", "doc_id", "sha", "text").groupBy("shard")
     removed = left.cogroup(pieces.groupBy("shard")).applyInPandas(_locate, "doc_id long, sha binary, n_removed long, kept string")
     whole = (F.col("_first") < F.col("doc_id")) & (F.col("n_words") >= WINDOW)
     return (
-        rows.drop("phrases", "size").join(first, "sha").join(removed, ["doc_id", "sha"], "left")
+        rows.drop("phrases").join(first, "sha").join(removed, ["doc_id", "sha"], "left")
         .select(
             "doc_id", "n_words", "sha",
             F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.when(whole, F.lit("")).otherwise(F.col("kept")).alias("kept"),
         )
     )
-
-
-def _matching(texts: DataFrame) -> DataFrame:
-    """Rows whose words have the digest they were joined for, one for each document."""
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            same = [
-                hashlib.sha256(b" ".join(t.encode().split())).digest() == s
-                for t, s in zip(batch["text"].to_pylist(), batch["sha"].to_pylist())
-            ]
-            yield batch.filter(pa.array(same, pa.bool_()))
-
-    schema = "doc_id long, text string, sha binary, phrases array<long>, shard long"
-    return texts.select("doc_id", "text", "sha", "phrases", "shard").mapInArrow(work, schema).dropDuplicates(["doc_id", "sha"])

@@ -123,6 +123,36 @@ def test_repeats_of_shifted_and_nested_passages(spark):
     assert got == brute_repeats(rows)
 
 
+def test_repeats_of_unlike_texts_of_one_id(spark):
+    p, q, r = (" ".join(f"{c}{i}" for i in range(60)) for c in "pqr")
+    rows = [(1, p), (2, "two words"), (2, f"x {p} y"), (2, q), (2, q), (3, f"{q} z"), (4, p), (4, r), (5, f"{r} z"), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(frame).collect())
+    assert got == [
+        (1, 60, 0), (2, 2, 0), (2, 60, 0), (2, 60, 0), (2, 62, 60), (3, 61, 60), (4, 0, 0), (4, 60, 0), (4, 60, 60), (5, 61, 60)
+    ]
+
+
+def test_windows_and_candidate_texts_move_once(spark, monkeypatch):
+    moves, stage = {}, substring_dedup.stage
+
+    def noted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        moves[label] = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        return stage(df, label)
+
+    monkeypatch.setattr(substring_dedup, "stage", noted)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # joins as on large tables
+    try:
+        substring_dedup.remove_repeats(documents(spark))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert len([m for m in moves["passages"] if "high#" in m]) == 1  # and not by digest and shard, then by digest
+    assert not [m for m in moves["candidates"] if "sha#" in m]  # equal texts of an id met in the join already
+    assert not [m for m in moves["phrases"] if "phrase#" in m]
+
+
 # ---------------------------------------------------------------- near copies
 
 
