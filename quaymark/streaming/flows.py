@@ -15,6 +15,7 @@ from ..operators.metrics import tumbling
 LATENESS = "10 minutes"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 @contextmanager
@@ -22,14 +23,17 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
     """Queries that start inside keep their state in RocksDB, whatever the session's provider is.
 
     A stateful processor with several values or timers needs column families, which Spark's default provider does not have.
-    A query takes the setting over when it starts.
+    A micro-batch commits what it changed, not files of the whole state. A query takes the settings over when it starts.
     """
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB, CHANGELOG: "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -70,7 +74,8 @@ def drop_repeats(events: DataFrame, key: Sequence[str], ts: str = "ts", lateness
 
 def closing_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """A stream that is empty until `close` writes the row that ends a run."""
-    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    # an empty range, as an empty list would start a Python worker per core
+    spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(folder)
     return file_stream(spark, folder, schema)
 
 

@@ -28,6 +28,9 @@ from ..session import new_folder, stage, unstage
 IDLE_SECONDS = 600
 LINES = "path string, line_no long, line string, record_no long, line_in_record long"
 RECORDS = "path string, record_no long, first_line long, lines long, message string"
+RECORD_COLUMNS = ["path", "record_no", "first_line", "lines", "message"]
+#: Ended records and letters of them that one frame holds; a frame's texts have to stay below Arrow's 2 GB.
+FRAME_RECORDS, FRAME_LETTERS = 10_000, 1 << 24
 
 
 def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -39,6 +42,10 @@ def _starts(lines: pd.DataFrame) -> pd.Series:
     return lines["line"].fillna("").str.match(logs.RECORD_START).astype("int64")
 
 
+def _joined(texts: list[str | None]) -> str:
+    return "\n".join(text for text in texts if text is not None)
+
+
 class LineNumbering(StatefulProcessor):
     """Gives each line its record and its place there, from where the last micro-batch ended."""
 
@@ -63,7 +70,11 @@ class LineNumbering(StatefulProcessor):
 
 
 class RecordGathering(StatefulProcessor):
-    """Joins the lines of records. The open record's lines are state, one entry a line, appended as they come."""
+    """Joins the lines of records. The open record's lines are state, one entry a line, appended as they come.
+
+    Records that begin and end in one micro-batch never touch the state, which costs a call to the JVM each time: a file's
+    micro-batch reads the open record once, writes the next one once, and gives out many ended records in a frame.
+    """
 
     def __init__(self, idle_seconds: int):
         self.idle_seconds = idle_seconds
@@ -74,27 +85,32 @@ class RecordGathering(StatefulProcessor):
         self.open = handle.getListState("open", "line_no long, line string")
         self.timer = handle.getValueState("timer", "at long")
 
-    def _ended(self, path: str, record_no: int, lines: list[tuple]) -> pd.DataFrame:
-        message = "\n".join(text for _, text in lines if text is not None)
-        row = (path, record_no, lines[0][0], len(lines), message)
-        return pd.DataFrame([row], columns=["path", "record_no", "first_line", "lines", "message"])
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if key[0] is None:
             return
         found = _sorted(rows)
         (record_no,) = self.number.get() if self.number.exists() else (0,)
-        found["record_no"] = _starts(found).cumsum() + record_no
-        for number, part in found.groupby("record_no", sort=True):
-            lines = list(zip(part["line_no"].astype(int).tolist(), part["line"].tolist()))
-            if number != record_no:
-                before = [tuple(x) for x in self.open.get()]
-                if before:
-                    yield self._ended(key[0], record_no, before)
-                self.open.clear()
-                record_no = int(number)
-            self.open.appendList(lines)
-        self.number.update((record_no,))
+        line_nos, texts = found["line_no"].astype(int).tolist(), found["line"].tolist()
+        starts = _starts(found).to_numpy().nonzero()[0].tolist()
+        if starts:
+            # the first start ends the record that was open, the last one opens the next
+            head = list(zip(line_nos[: starts[0]], texts[: starts[0]]))
+            before = [tuple(x) for x in self.open.get()] + head
+            ended = [(key[0], record_no, before[0][0], len(before), _joined([text for _, text in before]))] if before else []
+            size = len(ended[0][-1]) if ended else 0
+            for i, (began, stop) in enumerate(zip(starts, starts[1:]), record_no + 1):
+                ended.append((key[0], i, line_nos[began], stop - began, _joined(texts[began:stop])))
+                size += len(ended[-1][-1])
+                if len(ended) >= FRAME_RECORDS or size >= FRAME_LETTERS:
+                    yield pd.DataFrame(ended, columns=RECORD_COLUMNS)
+                    ended, size = [], 0
+            if ended:
+                yield pd.DataFrame(ended, columns=RECORD_COLUMNS)
+            self.open.put(list(zip(line_nos[starts[-1] :], texts[starts[-1] :])))
+            self.number.update((record_no + len(starts),))
+        else:
+            self.open.appendList(list(zip(line_nos, texts)))
+            self.number.update((record_no,))
         # a file whose times lie behind the watermark is not silent: its wait begins at the watermark
         last = max(int(found["read_at"].max().timestamp() * 1000), timerValues.getCurrentWatermarkInMs())
         self._wait_until(last + self.idle_seconds * 1000)
@@ -112,7 +128,8 @@ class RecordGathering(StatefulProcessor):
         self.open.clear()
         self.timer.clear()
         if lines:
-            yield self._ended(key[0], record_no, lines)
+            ended = (key[0], record_no, lines[0][0], len(lines), _joined([text for _, text in lines]))
+            yield pd.DataFrame([ended], columns=RECORD_COLUMNS)
 
     def close(self) -> None:
         pass

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +181,86 @@ def test_parts_are_written_by_many_tasks(spark):
     for folder in log_records.cut(rows, F.col("line_no"), 3):
         sizes.append((spark.read.parquet(folder).count(), len(spark.read.parquet(folder).inputFiles())))
     assert [n for n, _ in sizes] == [334, 668, 1000] and all(f > i for i, (_, f) in enumerate(sizes, 1))
+
+
+class Counted:
+    """A state value or list in memory that counts its calls."""
+
+    def __init__(self, calls):
+        self.calls, self.kept = calls, None
+
+    def exists(self):
+        return self.kept is not None
+
+    def get(self):
+        self.calls.append("get")
+        return iter(()) if self.kept is None else self.kept
+
+    def update(self, value):
+        self.calls.append("update")
+        self.kept = value
+
+    def put(self, rows):
+        self.calls.append("put")
+        self.kept = list(rows)
+
+    def appendList(self, rows):
+        self.calls.append("append")
+        self.kept = [*(self.kept or []), *rows]
+
+    def clear(self):
+        self.calls.append("clear")
+        self.kept = None
+
+
+class Handle:
+    """What a processor asks Spark for, without Spark."""
+
+    def __init__(self):
+        self.calls = []
+
+    def getValueState(self, name, schema):
+        return Counted(self.calls)
+
+    getListState = getValueState
+
+    def registerTimer(self, at):
+        self.calls.append("timer")
+
+    deleteTimer = registerTimer
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_records_within_a_batch_cost_no_state(monkeypatch):
+    """Calls to the state and frames given out per file and micro-batch don't grow with the records, and frames are bounded."""
+    for records, bound in ((10, 1), (3000, 1), (3000, 4)):
+        monkeypatch.setattr(log_records, "FRAME_RECORDS", 10_000 if bound == 1 else 1000)
+        handle, processor = Handle(), log_records.RecordGathering(600)
+        processor.init(handle)
+        lines = [(i, f"[{i}" if i % 2 else f"more {i}", START) for i in range(1, 2 * records + 1)]
+        found = pd.DataFrame(lines, columns=["line_no", "line", "read_at"])
+        out = list(processor.handleInputRows(("a",), iter([found[5:], found[:5]]), handle))
+        assert len(out) <= bound and len(handle.calls) < 10
+        have = [tuple(r) for r in pd.concat(out).itertuples(index=False)]
+        # the last record is open
+        assert have == [("a", n, 2 * n - 1, 2, f"[{2 * n - 1}\nmore {2 * n}") for n in range(1, records)]
+
+
+def test_records_cut_anywhere_equal_whole_ones():
+    draw = random.Random(5)
+    texts = [draw.choice(["[a", "[b", "more", "", None]) for _ in range(200)]
+    lines = pd.DataFrame([(i, text, START) for i, text in enumerate(texts)], columns=["line_no", "line", "read_at"])
+    want, number = {}, 0
+    for i, text in enumerate(texts):
+        number += (text or "").startswith("[")
+        want.setdefault(number, []).append((i, text))
+    want = [("a", n, x[0][0], len(x), "\n".join(t for _, t in x if t is not None)) for n, x in want.items()]
+    for _ in range(50):
+        cuts = sorted({0, len(texts), *draw.choices(range(len(texts)), k=draw.randrange(30))})
+        handle, processor = Handle(), log_records.RecordGathering(600)
+        processor.init(handle)
+        out = [f for a, b in zip(cuts, cuts[1:]) for f in processor.handleInputRows(("a",), iter([lines[a:b]]), handle)]
+        out += processor.handleExpiredTimer(("a",), handle, None)
+        assert [tuple(r) for r in pd.concat(out).itertuples(index=False)] == want
