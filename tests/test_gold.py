@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +61,17 @@ def test_the_pairs_are_never_built(spark, tables):
     for line_no, line in enumerate(lines := text.splitlines()):
         if "Join Inner" in line and "_items" in line and "_reviews" in line:
             assert "Aggregate" in "\n".join(lines[line_no : line_no + 6])
+
+
+def test_branch_items_move_once_before_customers(spark):
+    """Items are joined with their orders as they are; sums per branch and order would be moved as a step more."""
+    items = spark.createDataFrame(
+        [("B1", "O1", 1.5, 3.0), ("B1", "O1", 2.5, 4.0), ("B1", "O2", 1.0, 1.0), ("B2", "O3", 9.0, 9.0), (None, "O3", 1.0, 1.0), ("B2", "O9", 7.0, 7.0)],
+        "subsidiary_id string, order_id string, sale_price double, total_price double",
+    ).withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("sale_price", "total_price")})
+    orders = spark.createDataFrame([("O1", "A"), ("O2", "A"), ("O3", None)], "order_id string, acc_id string")
+    branches = spark.createDataFrame([("B1", "one", "D", "x"), ("B2", "two", "D", "x")], "sub_id string, sub_name string, sub_district string, sub_city string")
+    found = gold.subsidiary_performance(branches, items, orders)
+    assert sorted((r.sub_id, r.total_orders, r.total_customers) for r in found.collect()) == [("B1", 3, 1), ("B2", 1, 0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(subsidiary_id#\d+, order_id", plan)

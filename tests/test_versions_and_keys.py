@@ -153,3 +153,16 @@ def test_many_values_are_numbered_without_gaps(spark):
         found = keys.stable_keys(spark.range(size).select((F.col("id") * 7 % 5_000).cast("string").alias("name")).distinct(), ["name"], "no", base)
         assert found.select("no").distinct().count() == found.count() == size
     assert found.agg(F.min("no"), F.max("no")).first()[:] == (1, 5_000)
+
+
+def test_hash_sums_are_exact(spark):
+    """Sums of hashes of either sign, by parts of them, are those of whole numbers, and no decimal is added per row."""
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 7 > 0, F.md5(F.col("id").cast("string"))).alias("text"))
+    want = sum(r[0] for r in rows.select(F.xxhash64("id", "text")).collect())
+    found = versions.fingerprint(rows)
+    assert found.first() == (5000, want) and versions.fingerprint(rows.limit(0)).first() == (0, 0)
+    sent, seen = versions.observed(rows)
+    assert sent.columns == rows.columns and sent.count() == 5000 and seen.get["hash_sum"] == want
+    assert "sum(cast(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    edges = spark.createDataFrame([(x,) for x in (-(1 << 63), (1 << 63) - 1, -1, 0, 1, -(1 << 43), (1 << 43) - 1, 1 << 22)] * 3, "h long")
+    assert edges.agg(versions._hash_sum(F.col("h"))).first()[0] == sum(r.h for r in edges.collect())
